@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pelagrid.functions.numeric import clean_numeric
 from pelagrid.schemas import hourly_response, hourly_table
 
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
 
 def read_responses(spark: SparkSession, path: str, variables: tuple[str, ...]) -> DataFrame:
     """Response files, one JSON document each, partitioned by ``location_name=``."""
@@ -75,7 +77,7 @@ def read_landing(spark: SparkSession, root: str, variables: tuple[str, ...]) ->
     return (
         spark.read.schema(schema)
         .option("mode", "FAILFAST")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        .option("timestampFormat", TIME_FORMAT)
         .json(root)
         .select(*schema.fieldNames())
     )
