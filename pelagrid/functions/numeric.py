@@ -22,18 +22,30 @@ def floored(value: Column, floor: float = 0.0) -> Column:
     return F.when(value.isNotNull(), F.greatest(value, F.lit(float(floor))))
 
 
+# Sums and quotients are settled at this many decimals before halves are judged, so
+# that a result does not depend on the order in which partial sums were added.
+SETTLED_DECIMALS = 12
+
+
 def rounded(value: Column, digits: int) -> Column:
-    """``round`` whose halves do not depend on the last bits of a sum.
+    """``round`` with halves away from zero, judged on the settled value."""
+    return F.round(F.round(value, SETTLED_DECIMALS), digits)
+
+
+def whole_steps(value: Column, digits: int) -> Column:
+    """``rounded`` as a whole number of 10^-digits, for columns of many rows.
 
-    Averages are added up in whatever order tasks finish; settling the value at
-    twelve decimals first gives the same score on every run.
+    Plain arithmetic: ``round`` on doubles goes through a decimal object per row.
     """
-    return F.round(F.round(value, 12), digits)
+    per_unit = 10.0**digits
+    half = 0.5 + 0.5 * per_unit / 10.0**SETTLED_DECIMALS
+    steps = F.floor(F.abs(value) * F.lit(per_unit) + F.lit(half))
+    return F.when(value < 0, -steps).otherwise(steps)
 
 
 def to_ms(kmh: Column) -> Column:
     """km/h to m/s at four decimals."""
-    return F.round(kmh / F.lit(3.6), 4)
+    return whole_steps(kmh / F.lit(3.6), 4) / F.lit(10_000.0)
 
 
 def share(hits: Column, total: Column) -> Column:

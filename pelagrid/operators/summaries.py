@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 
 from pelagrid.config import DEFAULT, WeatherLimits
 from pelagrid.functions.grid import surrogate_key
-from pelagrid.functions.numeric import rounded, share
+from pelagrid.functions.numeric import rounded, share, whole_steps
 
 SITE = "location_name"
 
 
 def _histogram(staged: DataFrame, value: str, extra: Mapping[str, Column]) -> DataFrame:
     x = F.col(value)
-    return staged.groupBy(SITE, F.round(x, 2).alias("_bin")).agg(
+    return staged.groupBy(SITE, whole_steps(x, 2).alias("_bin")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(x).alias("_sum"),
         F.var_pop(x).alias("_var"),
@@ -52,7 +52,7 @@ def _with_positions(hist: DataFrame) -> DataFrame:
 def _percentile(percent: int) -> Column:
     """First value whose cumulative share reaches ``percent``; integer arithmetic."""
     reached = F.col("_upto") * F.lit(100) >= F.col("_total") * F.lit(percent)
-    return F.min(F.when(reached, F.col("_bin")))
+    return F.min(F.when(reached, F.col("_bin"))) / F.lit(100.0)
 
 
 def _stddev() -> Column:

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording a Python call site per Column doubles the cost of building a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -36,6 +36,14 @@ def test_rounded_settles_halves(spark):
     ]
 
 
+def test_whole_steps_equal_rounded(spark):
+    values = [2.7649999999999997, 2.765, 1.005, -1.005, -0.004, 0.0, 99.994999, 0.3 * 3.7, None]
+    rounded = each(spark, numeric.rounded(F.col("v"), 2), values)
+    steps = each(spark, numeric.whole_steps(F.col("v"), 2) / 100.0, values)
+    assert steps == rounded
+    assert rounded[:4] == [2.77, 2.77, 1.01, -1.01]
+
+
 def test_kmh_to_ms(spark):
     assert each(spark, numeric.to_ms(F.col("v")), [36.0, 1.0, None]) == [10.0, 0.2778, None]
 
