@@ -43,15 +43,14 @@ def cell_depths(raw_bathymetry: DataFrame) -> DataFrame:
     )
 
 
-def _cells_of_rounded(coord: str) -> Column:
+def _cells_of_rounded(thousandths: str) -> Column:
     """Cells a pixel may lie in, knowing only its rounded coordinate.
 
     One cell nearly always, two when the rounded value sits on a cell border.
     """
-    reach = F.lit(_ROUNDING_REACH)
-    return F.array_distinct(
-        F.array(cell_index(F.col(coord) - reach), cell_index(F.col(coord) + reach))
-    )
+    coord, reach = F.col(thousandths) / F.lit(1000.0), F.lit(_ROUNDING_REACH)
+    low, high = cell_index(coord - reach), cell_index(coord + reach)
+    return F.when(low == high, F.array(low)).otherwise(F.array(low, high))
 
 
 def cell_coast_distances(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pelagrid.config import DEFAULT, SMOKE_SITES, SMOKE_YEAR, Gates
 from pelagrid.functions.classify import pixel_distance_category
 from pelagrid.functions.grid import cell_key, snap, surrogate_key, time_text
-from pelagrid.functions.numeric import to_ms
+from pelagrid.functions.numeric import to_ms, whole_steps
 
 
 def smoke_subset(
@@ -90,9 +90,16 @@ def stg_bathymetry(raw_bathymetry: DataFrame) -> DataFrame:
 
 
 def pixel_keys(df: DataFrame) -> DataFrame:
-    """Three-decimal coordinates on which two pixel rasters meet."""
+    """Coordinates at three decimals, on which two pixel rasters meet.
+
+    Kept as whole thousandths: integers hash, compare and shuffle cheaper than
+    rounded doubles, and a raster step is larger than a thousandth of a degree.
+    """
     return df.withColumns(
-        {"_plat": F.round("latitude", 3), "_plon": F.round("longitude", 3)}
+        {
+            "_plat": whole_steps(F.col("latitude"), 3),
+            "_plon": whole_steps(F.col("longitude"), 3),
+        }
     )
 
 

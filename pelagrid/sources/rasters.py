@@ -58,12 +58,17 @@ def load_tiles(tiles: list[DataFrame], path: str) -> None:
 
 
 def write_strips(distances: DataFrame, root: str, grid: RasterGrid, strip_rows: int = STRIP_ROWS) -> None:
-    """Coast distances in latitude strips named by their first raster row."""
+    """Coast distances in latitude strips named by their first raster row.
+
+    Hash partitioning by strip: a strip is at most ``strip_rows`` raster rows, and
+    range partitioning would run the distance transform twice, once to sample it.
+    """
     row = F.floor((F.col("latitude") - grid.lat_min) / grid.res)
     first = (F.floor(row / strip_rows) * strip_rows).cast("string")
     (
         distances.withColumn("strip", F.lpad(first, 5, "0"))
-        .repartitionByRange("strip", "latitude", "longitude")
+        .repartition("strip")
+        .sortWithinPartitions("strip", "latitude", "longitude")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("strip")

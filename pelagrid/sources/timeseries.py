@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,19 +25,36 @@ def with_month(hourly: DataFrame) -> DataFrame:
     return hourly.withColumn(MONTH, F.date_format("observation_time", "yyyy-MM"))
 
 
-def _laid_out(monthly: DataFrame) -> DataFrame:
-    """Contiguous (month, site, time) ranges per task.
+@contextmanager
+def _read_once(batch: DataFrame) -> Iterator[DataFrame]:
+    """Keep a batch on executor disks while several jobs read it.
 
-    Time is part of the range key, so a month or a site with a large share of
-    the rows is spread over tasks, and each task still writes to few months.
+    Range partitioning samples its input first, so without this a landed file
+    would be parsed once per pass. A lost executor only recomputes its part.
     """
-    order = (MONTH, *KEY)
-    return monthly.repartitionByRange(*order).sortWithinPartitions(*order)
+    kept = batch.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
 
 
 def append_hourly(hourly: DataFrame, path: str) -> None:
-    """Plain append: loading the same rows twice stores them twice."""
-    _laid_out(with_month(hourly)).write.mode("append").partitionBy(MONTH).parquet(path)
+    """Plain append: loading the same rows twice stores them twice.
+
+    Tasks get contiguous (month, site, time) ranges. Time is part of the key, so a
+    month or a site with a large share of the rows is spread over tasks, and each
+    task still writes to few months.
+    """
+    order = (MONTH, *KEY)
+    with _read_once(with_month(hourly)) as batch:
+        (
+            batch.repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .write.mode("append")
+            .partitionBy(MONTH)
+            .parquet(path)
+        )
 
 
 def merge_hourly(hourly: DataFrame, path: str) -> None:
@@ -45,26 +66,26 @@ def merge_hourly(hourly: DataFrame, path: str) -> None:
     de-duplication needs no shuffle of its own.
     """
     spark = hourly.sparkSession
-    batch = with_month(hourly).withColumn("_new", F.lit(1))
-    months = [r[0] for r in batch.select(MONTH).distinct().collect()]
-    stored = _read_if_present(spark, path, hourly.schema)
-    if stored is not None:
-        old = stored.where(F.col(MONTH).isin(months)).withColumn("_new", F.lit(0))
-        batch = batch.unionByName(old.select(*batch.columns))
-    newest = Window.partitionBy(MONTH, *KEY).orderBy(F.col("_new").desc())
-    merged = (
-        batch.repartitionByRange(MONTH, *KEY)
-        .withColumn("_nth", F.row_number().over(newest))
-        .where("_nth = 1")
-        .drop("_nth", "_new")
-        .sortWithinPartitions(MONTH, *KEY)
-    )
-    (
-        merged.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    order = (MONTH, *KEY)
+    newest = Window.partitionBy(*order).orderBy(F.col("_new").desc())
+    with _read_once(with_month(hourly).withColumn("_new", F.lit(1))) as batch:
+        months = [r[0] for r in batch.select(MONTH).distinct().collect()]
+        stored = _read_if_present(spark, path, hourly.schema)
+        rows = batch
+        if stored is not None:
+            old = stored.where(F.col(MONTH).isin(months)).withColumn("_new", F.lit(0))
+            rows = batch.unionByName(old.select(*batch.columns))
+        (
+            rows.repartitionByRange(*order)
+            .withColumn("_nth", F.row_number().over(newest))
+            .where("_nth = 1")
+            .drop("_nth", "_new")
+            .sortWithinPartitions(*order)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH)
+            .parquet(path)
+        )
 
 
 def read_hourly(spark: SparkSession, path: str, variables: tuple[str, ...]) -> DataFrame:
