@@ -58,36 +58,43 @@ def cell_coast_distances(
 ) -> DataFrame:
     """Per cell: distance average, minimum and count over the joined pixels.
 
-    Equals grouping ``stg_coastline_distance`` by its cell. Each side is first
-    reduced to one row per (pixel key, cell), with partial aggregation before the
-    shuffle, so the join is one to one whatever a pixel key repeats, and both
-    sides arrive already partitioned on the join columns: one shuffle per raster.
-    The bathymetry side lists the cells its rounded key may belong to, because a
-    pair of matching pixels may fall either side of a cell border.
+    Equals grouping ``stg_coastline_distance`` by its cell, but no pixel is joined:
+    both rasters go into one aggregation per (pixel key, cell), and a group that
+    received pixels from both is a match of ``distances x copies`` pairs. Partial
+    aggregation collapses repeated pixels before the one shuffle, and nothing is
+    sorted. The bathymetry side lists the cells its rounded key may belong to,
+    because matching pixels may fall either side of a cell border.
     """
     keys = ["_plat", "_plon", "_gy", "_gx"]
     km = F.col("distance_to_coast_km")
-    coast = (
-        pixel_keys(raw_coastline.where(km >= gates.min_pixel_coast_km))
-        .withColumns({"_gy": cell_index(F.col("latitude")), "_gx": cell_index(F.col("longitude"))})
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum(km).alias("_sum"), F.min(km).alias("_min"))
+    coast = pixel_keys(raw_coastline.where(km >= gates.min_pixel_coast_km)).select(
+        "_plat",
+        "_plon",
+        cell_index(F.col("latitude")).alias("_gy"),
+        cell_index(F.col("longitude")).alias("_gx"),
+        km.alias("_km"),
     )
     marine = (
         pixel_keys(raw_bathymetry.where(F.col("elevation_m") < 0))
         .select("_plat", "_plon", F.explode(_cells_of_rounded("_plat")).alias("_gy"))
         .select("_plat", "_plon", "_gy", F.explode(_cells_of_rounded("_plon")).alias("_gx"))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_km", F.lit(None).cast("double"))
     )
-    cells = (
-        coast.join(marine, keys)
-        .groupBy("_gy", "_gx")
+    pixels = (
+        coast.unionByName(marine)
+        .groupBy(*keys)
         .agg(
-            F.sum(F.col("_n") * F.col("_copies")).alias("coast_pixels"),
-            F.sum(F.col("_sum") * F.col("_copies")).alias("_total"),
-            F.min("_min").alias("distance_min_km"),
+            F.count("_km").alias("_n"),
+            F.sum("_km").alias("_sum"),
+            F.min("_km").alias("_min"),
+            F.count_if(F.col("_km").isNull()).alias("_copies"),
         )
+        .where("_n > 0 AND _copies > 0")
+    )
+    cells = pixels.groupBy("_gy", "_gx").agg(
+        F.sum(F.col("_n") * F.col("_copies")).alias("coast_pixels"),
+        F.sum(F.col("_sum") * F.col("_copies")).alias("_total"),
+        F.min("_min").alias("distance_min_km"),
     )
     return cells.select(
         index_key(F.col("_gy"), F.col("_gx")).alias("spatial_id"),

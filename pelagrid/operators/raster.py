@@ -2,15 +2,17 @@
 
 The distance transform is separable. Pass 1 works down the columns that hold
 coast cells: each coast cell owns the rows nearest to it, found with lag/lead
-over the sparse coast cells alone, so no dense raster is shuffled to get there.
-Pass 2 works along rows: the squared distance of pixel x is the minimum over
-columns c of (x - c)^2 + g(c)^2. Rows are grouped in strips of a fixed number of
-pixels, so a task's memory depends on the configured strip, never on the raster.
+over the sparse coast cells alone. Pass 2 works along rows: the squared distance
+of pixel x is the minimum over columns c of (x - c)^2 + g(c)^2, where g(c) is the
+distance to the column's nearest coast cell. Rows are grouped in strips of a fixed
+number of pixels: only coast cells are shuffled to them, never the dense raster,
+and a task's memory depends on the configured strip, not on the raster.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from pelagrid.config import RasterGrid
 
 STRIP_PIXELS = 1 << 18
+STRIPS_PER_TASK = 2
 
 
 def pixel_index(coord: Column, origin: float, res: float) -> Column:
@@ -54,21 +57,25 @@ def pixel_grid(spark: SparkSession, grid: RasterGrid) -> DataFrame:
     )
 
 
-def column_gaps(coast: DataFrame, rows: int) -> DataFrame:
-    """(row, col, gap): rows to the nearest coast cell of the same column."""
+def column_owners(coast: DataFrame, rows: int, strip_rows: int) -> DataFrame:
+    """(strip, col, coast_row): the coast cells that matter to each strip of a column.
+
+    A coast cell is listed in every strip that holds a row it is nearest to within
+    its column, so a strip can rebuild its distances from the few cells listed.
+    """
     down = Window.partitionBy("col").orderBy("row")
     row, above, below = F.col("row"), F.lag("row").over(down), F.lead("row").over(down)
+    first = F.coalesce(F.floor((above + row) / 2) + 1, F.lit(0))
+    last = F.coalesce(F.floor((row + below) / 2), F.lit(rows - 1))
     owned = coast.select(
         "col",
-        row.alias("_coast"),
-        F.coalesce(F.floor((above + row) / 2) + 1, F.lit(0)).alias("_first"),
-        F.coalesce(F.floor((row + below) / 2), F.lit(rows - 1)).alias("_last"),
-    )
-    # The owner of a row is one of its two neighbours, so intervals do not overlap.
-    spread = owned.where("_first <= _last").select(
-        "col", "_coast", F.explode(F.sequence("_first", "_last")).alias("row")
+        row.alias("coast_row"),
+        F.floor(first / strip_rows).alias("_from"),
+        F.floor(last / strip_rows).alias("_to"),
+        (first <= last).alias("_any"),
     )
-    return spread.select("row", "col", F.abs(F.col("row") - F.col("_coast")).alias("gap"))
+    strips = F.explode(F.sequence("_from", "_to")).alias("strip")
+    return owned.where("_any").select(strips, "col", "coast_row")
 
 
 def _nearest_along_rows(cols: np.ndarray, gap: np.ndarray, width: int) -> np.ndarray:
@@ -103,18 +110,21 @@ def _nearest_along_rows(cols: np.ndarray, gap: np.ndarray, width: int) -> np.nda
     return out
 
 
-def _strip_transform(width: int) -> Callable[[pa.Table], pa.Table]:
-    def transform(strip: pa.Table) -> pa.Table:
-        row, col, gap = (strip.column(c).to_numpy() for c in ("row", "col", "gap"))
-        # Every strip row has one entry per coast column, so the block is dense.
-        order = np.lexsort((col, row))
-        rows = np.unique(row)
-        cols = np.unique(col)
-        nearest = _nearest_along_rows(cols, gap[order].reshape(rows.size, cols.size), width)
+def _strip_transform(
+    grid_rows: int, width: int, strip_rows: int
+) -> Callable[[tuple[pa.Scalar, ...], pa.Table], pa.Table]:
+    def transform(key: tuple[pa.Scalar, ...], owners: pa.Table) -> pa.Table:
+        top = key[0].as_py() * strip_rows
+        rows = np.arange(top, min(top + strip_rows, grid_rows))
+        col, coast = (owners.column(c).to_numpy() for c in ("col", "coast_row"))
+        order = np.argsort(col, kind="stable")
+        cols, start = np.unique(col[order], return_index=True)
+        gap = np.minimum.reduceat(np.abs(rows[:, None] - coast[order]), start, axis=1)
+        nearest = _nearest_along_rows(cols, gap, width)
         return pa.table(
             {
                 "row": np.repeat(rows, width),
-                "col": np.tile(np.arange(width, dtype=np.int64), rows.size),
+                "col": np.tile(np.arange(width), rows.size),
                 "squared": nearest.ravel(),
             }
         )
@@ -125,12 +135,19 @@ def _strip_transform(width: int) -> Callable[[pa.Table], pa.Table]:
 def distance_transform(coast: DataFrame, grid: RasterGrid) -> DataFrame:
     """(row, col, squared): exact squared pixel distance to the nearest coast cell.
 
-    Empty when there is no coast cell at all.
+    Empty when there is no coast cell at all. The task count is explicit because
+    the input is small and the output is not: left to adaptive coalescing, which
+    sees only input bytes, few tasks would produce the whole raster.
     """
     strip_rows = max(1, STRIP_PIXELS // grid.cols)
-    gaps = column_gaps(coast, grid.rows).withColumn("_strip", F.floor(F.col("row") / strip_rows))
-    return gaps.groupBy("_strip").applyInArrow(
-        _strip_transform(grid.cols), "row long, col long, squared long"
+    tasks = ceil(grid.rows / (strip_rows * STRIPS_PER_TASK))
+    return (
+        column_owners(coast, grid.rows, strip_rows)
+        .repartition(tasks, "strip")
+        .groupBy("strip")
+        .applyInArrow(
+            _strip_transform(grid.rows, grid.cols, strip_rows), "row long, col long, squared long"
+        )
     )
 
 
