@@ -1,10 +1,13 @@
-"""Session settings and the two ways the library touches shared storage."""
+"""Session settings, shared storage, and keeping a result for several jobs."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # What the operators rely on; set only on sessions this library creates.
@@ -50,3 +53,17 @@ def stage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: runs ``df`` once and survives the loss of executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def read_once(batch: DataFrame) -> Iterator[DataFrame]:
+    """Keep a batch on executor disks while several jobs read it.
+
+    Range partitioning samples its input first, so without this a landed file
+    would be parsed once per pass. A lost executor only recomputes its part.
+    """
+    kept = batch.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from math import ceil, sqrt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagrid.config import Area, RasterGrid
@@ -35,7 +35,6 @@ DEMO_AREAS = (
 )
 
 DEMO_RES = 1 / 64
-_PIXEL = 1 / 32
 
 
 # Columns used, declared so that opening a table costs no job.
@@ -50,60 +49,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _mod(column: str, n: int) -> Column:
-    return F.pmod(F.col(column), F.lit(n))
-
-
 def _sited_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    site = _mod("user_id", 60)
     return (
         table(spark, sf_dir, "events")
-        .withColumns(
-            {
-                "latitude": F.lit(41.25) + F.lit(0.25) * F.floor(site / 12),
-                "longitude": F.lit(2.5) + F.lit(0.25) * F.pmod(site, F.lit(12)),
-                "_site": site,
-            }
-        )
-        .withColumns(
-            {
-                "location_name": F.concat_ws(
-                    "_",
-                    F.lit("GULF_OF_LION"),
-                    F.col("latitude").cast("string"),
-                    F.col("longitude").cast("string"),
-                ),
-                "observation_time": F.col("ts").cast("timestamp"),
-            }
+        .selectExpr("*", "pmod(user_id, 60) AS _site", "cast(ts AS timestamp) AS observation_time")
+        .selectExpr(
+            "*",
+            "41.25D + 0.25D * (_site div 12) AS latitude",
+            "2.5D + 0.25D * pmod(_site, 12) AS longitude",
         )
+        .selectExpr("*", "concat_ws('_', 'GULF_OF_LION', latitude, longitude) AS location_name")
     )
 
 
 def raw_wind(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    gain = F.lit(0.3) + F.lit(0.1) * _mod("user_id", 8)
-    speed = F.when(F.col("event_type") != "error", F.col("value") * gain)
-    return _sited_events(spark, sf_dir).select(
+    speed = "CASE WHEN event_type != 'error' THEN value * (0.3D + 0.1D * pmod(user_id, 8)) END"
+    return _sited_events(spark, sf_dir).selectExpr(
         "location_name",
         "latitude",
         "longitude",
         "observation_time",
-        speed.alias("wind_speed_100m"),
-        F.pmod(F.col("event_id") * 37, F.lit(360)).cast("double").alias("wind_direction_100m"),
-        (speed * F.lit(0.7)).alias("wind_speed_10m"),
+        f"{speed} AS wind_speed_100m",
+        "cast(pmod(event_id * 37, 360) AS double) AS wind_direction_100m",
+        f"{speed} * 0.7D AS wind_speed_10m",
         *keep,
     )
 
 
 def raw_wave(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    period = F.lit(2.0) + F.pmod(F.col("_site"), F.lit(11)) + _mod("event_id", 10) / F.lit(10.0)
-    return _sited_events(spark, sf_dir).select(
+    return _sited_events(spark, sf_dir).selectExpr(
         "location_name",
         "latitude",
         "longitude",
         "observation_time",
-        (F.col("value") / F.lit(40.0)).alias("wave_height"),
-        F.pmod(F.col("event_id") * 53, F.lit(360)).cast("double").alias("wave_direction"),
-        period.alias("wave_period"),
+        "value / 40D AS wave_height",
+        "cast(pmod(event_id * 53, 360) AS double) AS wave_direction",
+        "2D + pmod(_site, 11) + pmod(event_id, 10) / 10D AS wave_period",
         *keep,
     )
 
@@ -115,30 +96,31 @@ def spread_months(hourly: DataFrame, months: int = 18) -> DataFrame:
 
 
 def _pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    row, col = F.floor(key / 128), F.pmod(key, F.lit(128))
-    return table(spark, sf_dir, "orders").select(
-        (F.lit(41.0 + _PIXEL / 2) + row * F.lit(_PIXEL)).alias("latitude"),
-        (F.lit(2.5 + _PIXEL / 2) + col * F.lit(_PIXEL)).alias("longitude"),
-        row.alias("_r"),
-        col.alias("_k"),
-        "o_totalprice",
+    return (
+        table(spark, sf_dir, "orders")
+        .selectExpr("o_orderkey div 128 AS _r", "pmod(o_orderkey, 128) AS _k", "o_totalprice")
+        .selectExpr(
+            "*",
+            "41.015625D + _r * 0.03125D AS latitude",
+            "2.515625D + _k * 0.03125D AS longitude",
+        )
     )
 
 
 def raw_bathymetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    elevation = (
-        F.lit(60.0)
-        - F.lit(12.0) * F.col("_k")
-        - F.lit(2.0) * F.pmod(F.col("_r"), F.lit(40))
-        + F.col("o_totalprice") % F.lit(20.0)
+    return _pixels(spark, sf_dir).selectExpr(
+        "latitude",
+        "longitude",
+        "60D - 12D * _k - 2D * pmod(_r, 40) + o_totalprice % 20D AS elevation_m",
     )
-    return _pixels(spark, sf_dir).select("latitude", "longitude", elevation.alias("elevation_m"))
 
 
 def raw_coastline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    km = F.abs(F.col("_k") - 6) * F.lit(1.6) + F.pmod(F.col("_r"), F.lit(40)) * F.lit(0.4)
-    return _pixels(spark, sf_dir).select("latitude", "longitude", km.alias("distance_to_coast_km"))
+    return _pixels(spark, sf_dir).selectExpr(
+        "latitude",
+        "longitude",
+        "abs(_k - 6) * 1.6D + pmod(_r, 40) * 0.4D AS distance_to_coast_km",
+    )
 
 
 def exclusions(spark: SparkSession) -> DataFrame:
@@ -164,7 +146,7 @@ def coast_raster(spark: SparkSession, sf_dir: str) -> RasterGrid:
 def coast_vertices(spark: SparkSession, sf_dir: str, grid: RasterGrid) -> DataFrame:
     """One (lon, lat) vertex per customer, scattered; some lie out of bounds."""
     key, side = F.col("c_custkey"), F.lit(grid.rows + 3)
-    row, col = F.pmod(key * 7919, side), F.pmod(key * 104729, side)
+    row, col = F.pmod(key * 7919, side), F.pmod(F.floor(key * 104729 / 97), side)
     return table(spark, sf_dir, "customer").select(
         (F.lit(2.5 + DEMO_RES / 2) + col * F.lit(DEMO_RES)).alias("lon"),
         (F.lit(41.0 + DEMO_RES / 2) + row * F.lit(DEMO_RES)).alias("lat"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagrid.functions.numeric import clean_numeric
 from pelagrid.schemas import hourly_response, hourly_table
+from pelagrid.session import read_once
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
@@ -62,13 +63,14 @@ def write_landing(hourly: DataFrame, root: str) -> None:
     Range partitioning on (site, time) lets several tasks share a large site and
     keeps each task inside few sites, so folders do not fill with small files.
     """
-    (
-        hourly.withColumn("observation_time", F.date_format("observation_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-        .repartitionByRange("location_name", "observation_time")
-        .write.mode("append")
-        .partitionBy("location_name")
-        .json(root)
-    )
+    text = F.date_format("observation_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    with read_once(hourly.withColumn("observation_time", text)) as rows:
+        (
+            rows.repartitionByRange("location_name", "observation_time")
+            .write.mode("append")
+            .partitionBy("location_name")
+            .json(root)
+        )
 
 
 def read_landing(spark: SparkSession, root: str, variables: tuple[str, ...]) -> DataFrame:

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pelagrid.schemas import hourly_table
+from pelagrid.session import read_once
 
 MONTH = "obs_month"
 KEY = ("location_name", "observation_time")
@@ -25,20 +22,6 @@ def with_month(hourly: DataFrame) -> DataFrame:
     return hourly.withColumn(MONTH, F.date_format("observation_time", "yyyy-MM"))
 
 
-@contextmanager
-def _read_once(batch: DataFrame) -> Iterator[DataFrame]:
-    """Keep a batch on executor disks while several jobs read it.
-
-    Range partitioning samples its input first, so without this a landed file
-    would be parsed once per pass. A lost executor only recomputes its part.
-    """
-    kept = batch.persist(StorageLevel.DISK_ONLY)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
-
-
 def append_hourly(hourly: DataFrame, path: str) -> None:
     """Plain append: loading the same rows twice stores them twice.
 
@@ -47,7 +30,7 @@ def append_hourly(hourly: DataFrame, path: str) -> None:
     task still writes to few months.
     """
     order = (MONTH, *KEY)
-    with _read_once(with_month(hourly)) as batch:
+    with read_once(with_month(hourly)) as batch:
         (
             batch.repartitionByRange(*order)
             .sortWithinPartitions(*order)
@@ -68,7 +51,7 @@ def merge_hourly(hourly: DataFrame, path: str) -> None:
     spark = hourly.sparkSession
     order = (MONTH, *KEY)
     newest = Window.partitionBy(*order).orderBy(F.col("_new").desc())
-    with _read_once(with_month(hourly).withColumn("_new", F.lit(1))) as batch:
+    with read_once(with_month(hourly).withColumn("_new", F.lit(1))) as batch:
         months = [r[0] for r in batch.select(MONTH).distinct().collect()]
         stored = _read_if_present(spark, path, hourly.schema)
         rows = batch

@@ -223,6 +223,10 @@ def test_grid_points_and_registry(spark, frame, tmp_path):
         ("WIDE_1.0_1.0", -30.0),
         ("WIDE_-2.0_0.0", -40.0),
     }
+    by_shuffle = gridpoints.pixels_in_areas(sea, areas, broadcast_tiles=0)
+    by_broadcast = gridpoints.pixels_in_areas(sea, areas)
+    assert sorted(by_shuffle.collect()) == sorted(by_broadcast.collect())
+    assert "SortMergeJoin" in by_shuffle._jdf.queryExecution().executedPlan().toString()
     reference_data.write_grid_points(points, str(tmp_path / "points"))
     registry = reference_data.read_registry(spark, str(tmp_path / "points"))
     assert {r.location_name for r in registry.collect()} == {r.key for r in points.collect()}
