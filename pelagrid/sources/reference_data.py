@@ -42,6 +42,11 @@ def active_areas(spark: SparkSession, areas: Iterable[Area] = AREAS) -> DataFram
     return spark.createDataFrame(rows, schemas.AREAS)
 
 
+def read_areas(spark: SparkSession, path: str) -> DataFrame:
+    """Active study areas from a file of JSON lines with a declared schema."""
+    return spark.read.schema(schemas.AREAS).option("mode", "FAILFAST").json(path).where("active")
+
+
 def write_grid_points(points: DataFrame, path: str) -> None:
     points.write.mode("overwrite").option("partitionOverwriteMode", "static").json(path)
 

@@ -193,6 +193,8 @@ def test_reference_inputs(spark, tmp_path):
     on, off = Area("a", *box), Area("b", *box, active=False)
     assert [r["name"] for r in reference_data.active_areas(spark, [on, off]).collect()] == ["a"]
     assert reference_data.active_areas(spark).count() == 1
+    reference_data.active_areas(spark).write.json(str(tmp_path / "areas"))
+    assert reference_data.read_areas(spark, str(tmp_path / "areas")).collect() == reference_data.active_areas(spark).collect()
 
 
 def test_grid_points_and_registry(spark, frame, tmp_path):
