@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pelagrid.llm import quality_qda
+from pelagrid.llm import forest, quality_qda
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +19,14 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = forest.near_duplicates(table(spark, sf_dir, "documents"), forest.Forest(3, 85))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op5_quality_classifier": op5_quality_classifier,
+    "op8_minhash_forest": op8_minhash_forest,
 }
 
 ORACLES: dict[str, str] = {}
