@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pelagrid.session import scratch_path
@@ -51,3 +52,46 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
             )
         before = now
     raise RuntimeError(f"components did not converge in {rounds} rounds")
+
+
+SLICE, AT = "_slice", "_at"
+
+
+def sliced(df: DataFrame, keys: list, label: str = "sliced") -> DataFrame:
+    """``df`` in range-partitioned sort order, written, with the slice and the place in it.
+
+    Rows with equal keys are told apart by their place in the input, so even a key that
+    holds a third of all rows is split over slices.
+    """
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    ordered = tied.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
+    place = F.monotonically_increasing_id()
+    numbered = ordered.withColumns(
+        {SLICE: F.shiftright(place, 33), AT: place.bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    return written(numbered, label)
+
+
+def running(ordered: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
+    """Add the sum of ``value`` over earlier rows of the group, for rows from ``sliced``.
+
+    Sums inside a slice are a window over that slice alone; slices are linked by one
+    total for each slice and group.
+    """
+    keys = [SLICE, *groups]
+    totals = ordered.groupBy(*keys).agg(F.sum(value).alias("_total"))
+    earlier = W.partitionBy(*groups).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
+    )
+    within = W.partitionBy(*keys).orderBy(AT).rowsBetween(W.unboundedPreceding, -1)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return (
+        ordered.withColumn(name, F.coalesce(F.sum(value).over(within), F.lit(0)))
+        .join(offsets, same)
+        .withColumn(name, F.col(name) + F.col("_before"))
+        .drop("_before", *[f"_k{i}" for i in range(len(keys))])
+    )

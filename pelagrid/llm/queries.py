@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pelagrid.llm import forest, quality_qda
+from pelagrid.llm import curriculum, forest, langid_ppm, line_rules, oracles, quality_qda
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,14 +20,34 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid_ppm.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    placed = curriculum.schedule(documents)
+    first = F.round(F.get("copies", F.lit(0))["position"], 9)
+    return placed.select(
+        "doc_id", "size", "source_size", "target", "taken", first.alias("first_position")
+    ).orderBy(F.asc_nulls_last("first_position"), "doc_id")
+
+
 def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = forest.near_duplicates(table(spark, sf_dir, "documents"), forest.Forest(3, 85))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_language_id": op6_language_id,
+    "op7_curriculum_mix": op7_curriculum_mix,
     "op8_minhash_forest": op8_minhash_forest,
+    "op10_line_frequency_rules": op10_line_frequency_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
