@@ -31,13 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagrid.llm import text as tx
-from pelagrid.llm.graph import components, written
+from pelagrid.llm.graph import components, matched, written
 
 BASE = 3  # common hashes that make two entries of a tree neighbours
 DEPTH = 6  # hashes of one tree
 WINDOW = 16  # neighbours that each entry looks back to in each order
 MISSED = 1e-5  # chance that a pair at the threshold shares no base prefix
-BROADCAST_ROWS = 2_000_000  # ids (24 bytes each) that may be broadcast
 NO_ID = (1 << 63) - 1  # stands for a null doc_id while the least one is sought
 
 
@@ -238,12 +237,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, forest: Forest) -> DataFrame:
     )
 
 
-def _having(rows: DataFrame, ids: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with one of the ids: broadcast while their number is bounded, else a shuffle."""
-    few = ids.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(ids) if few else ids, keys)
-
-
 def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (and text_id, set_a, set_b) for every row."""
     texts = documents.select(
@@ -278,7 +271,7 @@ def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFram
     wanted = written(names.join(nodes, "node").select("node", "doc_key", "text_id"), "wanted")
     keyed = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_key"), "text_id", "text")
     chosen = written(
-        _having(keyed, wanted, ["doc_key", "text_id"]).select("node", "text").dropDuplicates(["node"]),
+        matched(keyed, wanted, ["doc_key", "text_id"]).select("node", "text").dropDuplicates(["node"]),
         "texts",
     )
     turned = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "estimate")

@@ -95,3 +95,13 @@ def running(ordered: DataFrame, groups: list[str], value: str, name: str) -> Dat
         .withColumn(name, F.col(name) + F.col("_before"))
         .drop("_before", *[f"_k{i}" for i in range(len(keys))])
     )
+
+
+#: Rows of short keys that may be broadcast (tens of bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def matched(rows: DataFrame, keys: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join with a table of short keys, broadcast while its counted rows are bounded."""
+    few = keys.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(keys) if few else keys, on, how)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagrid.llm import curriculum, forest, langid_ppm, line_rules, oracles, quality_qda
+from pelagrid.llm import curriculum, decontaminate, forest, langid_ppm, line_rules, oracles, quality_qda
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_template_decontamination": op2_template_decontamination,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_language_id": op6_language_id,
     "op7_curriculum_mix": op7_curriculum_mix,
