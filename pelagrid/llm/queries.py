@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagrid.llm import curriculum, decontaminate, forest, langid_ppm, line_rules, oracles, quality_qda
+from pelagrid.llm import curriculum, decontaminate, forest, langid_ppm, line_rules, oracles, quality_qda, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_template_decontamination": op2_template_decontamination,
+    "op4_label_propagation_shards": op4_label_propagation_shards,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_language_id": op6_language_id,
     "op7_curriculum_mix": op7_curriculum_mix,
