@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagrid.llm import curriculum, decontaminate, forest, langid_ppm, line_rules, oracles, quality_qda, sharding
+from pelagrid.llm import curriculum, decontaminate, forest, langid_ppm, line_rules, oracles, quality_qda, sharding, wrapper
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,10 @@ def op8_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op6_language_id": op6_language_id,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op8_minhash_forest": op8_minhash_forest,
+    "op9_wrapper_induction": op9_wrapper_induction,
     "op10_line_frequency_rules": op10_line_frequency_rules,
 }
 
