@@ -312,3 +312,34 @@ def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFram
         "set_a",
         "set_b",
     )
+
+
+def deduplicated(documents: DataFrame, forest: Forest = Forest()) -> DataFrame:
+    """The rows of ``documents`` without near-duplicates: one row of each component.
+
+    It is the row that names the component; of repeated rows, and of rows without an id, one stays.
+    Texts are joined with the short keys of the rows that stay. Rows without words are
+    duplicates of nothing but their own repetitions.
+    """
+    found = near_duplicates(documents, forest)
+    id_key, text_key = F.coalesce("doc_id", F.lit(NO_ID)), F.col("text_id")
+    # The kept row's text decides between different texts with the same id.
+    staying = written(
+        found.where("kept")
+        .groupBy(
+            F.coalesce("component_id", F.lit(NO_ID)).alias("_component"),
+            F.when(F.col("component_id").isNull(), F.col("set_a")).alias("_a"),
+        )
+        .agg(F.min(F.struct(id_key.alias("doc_key"), F.coalesce(text_key, F.lit(0)).alias("text_key"))).alias("_row"))
+        .select(F.col("_row.doc_key").alias("_doc_key"), F.col("_row.text_key").alias("_text_key"))
+        .distinct(),
+        "staying",
+    )
+    keyed = documents.withColumns(
+        {
+            "_doc_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
+            "_text_key": F.coalesce(F.xxhash64(F.col("text").cast("string")), F.lit(0)),
+        }
+    )
+    kept = matched(keyed, staying, ["_doc_key", "_text_key"])
+    return kept.dropDuplicates(["_doc_key", "_text_key"]).select(*documents.columns)

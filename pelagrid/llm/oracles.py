@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pelagrid.llm import licences
+
 OP10 = r"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(source, '<null>') AS host, coalesce(text, '') AS text
@@ -84,7 +86,75 @@ SELECT doc_id, size, source_size, target, taken,
 FROM p
 """
 
+OP1 = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS k
+  FROM conversations
+), s AS (
+  SELECT DISTINCT conv_id AS c, speaker AS assistant FROM t WHERE speaker <> 'system'
+), v AS (
+  SELECT conv_id, assistant, k // 256 AS part, k, speaker = assistant AS own,
+         CASE WHEN speaker = assistant THEN '<|assistant|>' WHEN speaker = 'system' THEN '<|system|>'
+              ELSE '<|user name=' || replace(speaker, '<|', '<' || chr(8203) || '|') || '|>' END || chr(10) AS head,
+         replace(text, '<|', '<' || chr(8203) || '|') AS body
+  FROM t JOIN s ON conv_id IS NOT DISTINCT FROM c
+), o AS (
+  SELECT *, (sum(length(head) + length(body) + 8) OVER (PARTITION BY conv_id, assistant, part ORDER BY k)
+             - length(body) - 8)::BIGINT AS b FROM v
+)
+SELECT conv_id, assistant, part, count(*) AS n_turns,
+       string_agg(head || body || '<|end|>' || chr(10), '' ORDER BY k) AS text,
+       coalesce(string_agg(b || '-' || b + length(body) + 8, ',' ORDER BY k) FILTER (WHERE own), '') AS mask,
+       coalesce(sum(length(body) + 8) FILTER (WHERE own), 0)::BIGINT AS n_masked_in
+FROM o GROUP BY conv_id, assistant, part
+"""
+
+
+def _licence_sql() -> str:
+    """The readings of a text as rows, joined with the sentence table."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    sentences = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in licences.known().items())
+    rules = ", ".join(
+        f"({i}, {quoted(name)}, {quoted(kind)}, {quoted('.*'.join(f' {x} ' for x in ids))})"
+        for i, (name, kind, ids) in enumerate(licences.RULES)
+    )
+    return rf"""
+WITH known(form, id) AS (VALUES {sentences}), rules(rank, name, kind, pattern) AS (VALUES {rules}),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (
+  SELECT r, string_split(text, chr(10)) AS lines,
+         string_split(regexp_replace(text, '([.;:!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS flat FROM d
+), p AS (
+  SELECT r, 0 AS reading, unnest(lines) AS piece, unnest(range(len(lines))) AS i FROM cut
+  UNION ALL SELECT r, 2, unnest(flat), unnest(range(len(flat))) FROM cut
+  UNION ALL SELECT r, 1, unnest(parts), unnest(range(len(parts))) FROM (
+    SELECT r, flatten(list_transform(lines, lambda x:
+      string_split(regexp_replace(x, '([.;:!?])\s+', '\1' || chr(1), 'g'), chr(1)))) AS parts FROM cut)
+), f AS (
+  SELECT r, reading, count(*) AS n, list(id ORDER BY i) AS ids
+  FROM p JOIN known ON trim(regexp_replace(lower(piece), '[^a-z0-9]+', ' ', 'g')) = form GROUP BY ALL
+), best AS (
+  SELECT r, arg_max(ids, n * 10 - reading) AS ids FROM f GROUP BY r
+), h AS (
+  SELECT r, rank, name, kind FROM best, rules
+  WHERE regexp_matches(' ' || array_to_string(ids, '  ') || ' ', pattern)
+), g AS (
+  SELECT r, arg_min(name, rank) AS licence, arg_min(kind, rank) AS kind FROM h GROUP BY r
+), n AS (
+  SELECT r, string_agg(name, ',' ORDER BY rank) AS licences
+  FROM (SELECT r, name, min(rank) AS rank FROM h GROUP BY r, name) GROUP BY r
+)
+SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids, licence, kind, coalesce(licences, '') AS licences
+FROM d LEFT JOIN best USING (r) LEFT JOIN g USING (r) LEFT JOIN n USING (r)
+"""
+
+
+OP3 = _licence_sql()
+
 ORACLES: dict[str, str] = {
+    "op1_perspective_rotation": OP1,
+    "op3_licence_rules": OP3,
     "op7_curriculum_mix": OP7,
     "op10_line_frequency_rules": OP10,
 }

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pelagrid.llm import curriculum, decontaminate, forest, langid_ppm, line_rules, oracles, quality_qda, sharding, wrapper
+from pelagrid.llm import (
+    chat,
+    curriculum,
+    decontaminate,
+    forest,
+    langid_ppm,
+    licences,
+    line_rules,
+    oracles,
+    quality_qda,
+    sharding,
+    wrapper,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.perspectives(table(spark, sf_dir, "conversations")))
+
+
+def op3_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,7 +75,9 @@ def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_perspective_rotation": op1_perspective_rotation,
     "op2_template_decontamination": op2_template_decontamination,
+    "op3_licence_rules": op3_licence_rules,
     "op4_label_propagation_shards": op4_label_propagation_shards,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_language_id": op6_language_id,
