@@ -21,11 +21,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pelagrid.llm.graph import written
+
 WORD = r"[^\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SOLID = r"[^\x20\x09-\x0D]"
+SYMBOL = "[#*$%&|<>]"
 SPAN = 5  # words of a window
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
@@ -41,12 +42,12 @@ class Limits:
 
 
 def _lines_with_words(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
+    return F.filter(F.split(text, "\n"), lambda x: x.rlike(SOLID))
 
 
 def _normal(line: Column) -> Column:
-    """Lower-cased A-Z, digits as 0, runs of white space as one space, trimmed."""
-    plain = F.translate(line, UPPER + "123456789", LOWER + "000000000")
+    """Lower case, digits as 0, runs of white space as one space, trimmed."""
+    plain = F.regexp_replace(F.lower(line), "[1-9]", "0")
     return F.trim(F.regexp_replace(plain, r"[\x20\x09-\x0D]+", " "))
 
 
@@ -95,32 +96,41 @@ def base_counts(documents: DataFrame) -> DataFrame:
         F.lit(0),
         lambda total, x: total + x,
     )
-    length = F.length("text")
     return again.select(
         "doc_id",
         "source",
         "text",
         "n_words",
-        F.length(F.translate("text", SPACES, "")).cast("long").alias("word_chars"),
-        (length - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("text", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
     )
 
 
-def frequent_lines(documents: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def frequent_lines(
+    documents: DataFrame, limits: Limits = Limits(), lines: DataFrame | None = None
+) -> DataFrame:
     """host, line (hash) and documents for the lines above the limit of their host."""
-    lines = _line_rows(documents)
+    lines = _line_rows(documents) if lines is None else lines
     host_size = (
-        documents.select(_host().alias("host"), *_identity()).distinct()
-        .groupBy("host").agg(F.count("*").alias("size"))
+        documents.select(_host().alias("host"), *_identity())
+        .distinct()
+        .groupBy("host")
+        .agg(F.count("*").alias("size"))
     )
     counted = (
-        lines.select("host", "line", "text_a", "text_b").distinct()
-        .groupBy("host", "line").agg(F.count("*").alias("documents"))
+        lines.select("host", "line", "text_a", "text_b")
+        .distinct()
+        .groupBy("host", "line")
+        .agg(F.count("*").alias("documents"))
         .where(F.col("documents") > limits.least_documents)
     )
-    return counted.join(host_size, "host").where(F.col("documents") > limits.share * F.col("size")).drop("size")
+    return (
+        counted.join(host_size, "host")
+        .where(F.col("documents") > limits.share * F.col("size"))
+        .drop("size")
+    )
 
 
 def _host() -> Column:
@@ -153,9 +163,10 @@ def judge(documents: DataFrame, limits: Limits = Limits()) -> DataFrame:
     counts = counts.select(
         F.struct(_host().alias("host"), *_identity()).alias("_text"), *[c for c in counts.columns if c != "text"]
     ).drop("source")
-    common = frequent_lines(documents, limits)
+    lines = written(_line_rows(documents), "lines")
+    common = frequent_lines(documents, limits, lines)
     removed = (
-        _line_rows(documents).groupBy("host", "line", "text_a", "text_b").agg(F.sum("words").alias("words"))
+        lines.groupBy("host", "line", "text_a", "text_b").agg(F.sum("words").alias("words"))
         .join(common.drop("documents"), ["host", "line"])
         .groupBy(F.struct("host", "text_a", "text_b").alias("_text")).agg(F.sum("words").alias("_removed"))
     )

@@ -21,7 +21,7 @@ WITH d AS (
   SELECT r, count(DISTINCT i + k) AS n FROM dup, (SELECT unnest(range(0, 5)) AS k) GROUP BY r
 ), ln AS (
   SELECT r, host, text, raw,
-         trim(regexp_replace(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         trim(regexp_replace(regexp_replace(lower(raw),
               '[1-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
   FROM (SELECT r, host, text, unnest(lines) AS raw FROM w)
 ), freq AS (
