@@ -46,7 +46,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time the mix takes a document, in training order; a document that the
     last pass cuts is kept whole."""
-    return curriculum.training_order(curriculum.schedule(docs, keep_text=True)).select(*docs.columns)
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    placed = curriculum.schedule(docs.select("doc_id", "source", "text", row))
+    return curriculum.training_order(placed).select("_row.*")
 
 
 def sharding_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

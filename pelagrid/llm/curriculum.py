@@ -94,18 +94,12 @@ def targets(sizes: DataFrame, plan: Curriculum = Curriculum()) -> DataFrame:
     return table.withColumn("target", F.least(cap, share))
 
 
-def schedule(
-    documents: DataFrame, plan: Curriculum = Curriculum(), keep_text: bool = False
-) -> DataFrame:
-    """All columns with size, source_size, target, taken and copies(position, words).
-
-    Texts are only carried through the sort if ``keep_text`` asks for it.
-    """
+def schedule(documents: DataFrame, plan: Curriculum = Curriculum()) -> DataFrame:
+    """All columns but the text, with size, source_size, target, taken, copies(position, words)."""
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = documents.withColumn("size", n_words(F.col("text").cast("string"))).withColumn("_order", order)
-    sized = sized if keep_text else sized.drop("text")
     rows = sliced(
-        sized,
+        sized.drop("text"),
         [F.col("source").asc_nulls_last(), "_order", "doc_id", "size"],
         "documents",
     ).drop("_order")
