@@ -37,7 +37,7 @@ UNITS = (
     "km/h|mph|m/s|ms|s|secs?|seconds?|mins?|minutes?|h|hrs?|hours?|days?|weeks?|months?|years?|"
     "dollars?|cents?|euros?|pounds?|[$€£]|[kM]?W|[kM]?Wh|[kM]?V|[kMG]?Hz|[kMGT]B"
 )
-_NUMBER = rf"[$€£]?\d+(?:[.,:/]\d+)*(?:[ -]?(?:{UNITS})(?![\p{{L}}\p{{N}}]))?"
+_NUMBER = rf"[$€£]?\d+(?:[.,:/]\d+)*(?:[ -]?(?i:{UNITS})(?![\p{{L}}\p{{N}}]))?"
 # A capitalised word after a word, comma or semicolon and one space.
 _NAME = r"(?<=[\p{Ll}\p{N},;\x02-\x04] )\p{Lu}\p{Ll}+"
 _TOKEN = r"[\x01\x02][^\x04]*\x04|[\p{L}\p{M}\p{N}]+"
