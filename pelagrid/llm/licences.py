@@ -151,7 +151,7 @@ def _identified(pieces: Column) -> Column:
 
 
 def _sentences(text: Column) -> Column:
-    return F.split(text, r"(?<=[.;:!?])\s+")
+    return F.split(text, r"(?<=[.;:!?])\s+|\n\s*\n")
 
 
 def sentence_ids(text: Column) -> Column:

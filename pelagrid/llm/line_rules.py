@@ -165,10 +165,16 @@ def judge(documents: DataFrame, limits: Limits = Limits()) -> DataFrame:
     ).drop("source")
     lines = written(_line_rows(documents), "lines")
     common = frequent_lines(documents, limits, lines)
+    # Lines were listed once for every row, so a text's sum holds each of its copies.
+    copies = counts.groupBy("_text").agg(F.count("*").alias("_copies"))
     removed = (
-        lines.groupBy("host", "line", "text_a", "text_b").agg(F.sum("words").alias("words"))
+        lines.groupBy("host", "line", "text_a", "text_b")
+        .agg(F.sum("words").alias("words"))
         .join(common.drop("documents"), ["host", "line"])
-        .groupBy(F.struct("host", "text_a", "text_b").alias("_text")).agg(F.sum("words").alias("_removed"))
+        .groupBy(F.struct("host", "text_a", "text_b").alias("_text"))
+        .agg(F.sum("words").alias("words"))
+        .join(copies, "_text")
+        .select("_text", (F.col("words") / F.col("_copies")).cast("long").alias("_removed"))
     )
     joined = counts.join(removed, "_text", "left").withColumn(
         "boilerplate_words", F.coalesce("_removed", F.lit(0)).cast("long")

@@ -124,13 +124,13 @@ WITH known(form, id) AS (VALUES {sentences}), rules(rank, name, kind, pattern) A
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 cut AS (
   SELECT r, string_split(text, chr(10)) AS lines,
-         string_split(regexp_replace(text, '([.;:!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS flat FROM d
+         string_split(regexp_replace(text, '([.;:!?])\s+|\n\s*\n', '\1' || chr(1), 'g'), chr(1)) AS flat FROM d
 ), p AS (
   SELECT r, 0 AS reading, unnest(lines) AS piece, unnest(range(len(lines))) AS i FROM cut
   UNION ALL SELECT r, 2, unnest(flat), unnest(range(len(flat))) FROM cut
   UNION ALL SELECT r, 1, unnest(parts), unnest(range(len(parts))) FROM (
     SELECT r, flatten(list_transform(lines, lambda x:
-      string_split(regexp_replace(x, '([.;:!?])\s+', '\1' || chr(1), 'g'), chr(1)))) AS parts FROM cut)
+      string_split(regexp_replace(x, '([.;:!?])\s+|\n\s*\n', '\1' || chr(1), 'g'), chr(1)))) AS parts FROM cut)
 ), f AS (
   SELECT r, reading, count(*) AS n, list(id ORDER BY i) AS ids
   FROM p JOIN known ON trim(regexp_replace(lower(piece), '[^a-z0-9]+', ' ', 'g')) = form GROUP BY ALL
