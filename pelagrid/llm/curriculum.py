@@ -117,7 +117,7 @@ def schedule(documents: DataFrame, plan: Curriculum = Curriculum()) -> DataFrame
             F.col("_passes") == k,
             F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before_words"))),
         ).otherwise(F.lit(0)).cast("long")
-        share = (k * F.col("source_size") + F.col("_before_words")) / F.col("target")
+        share = F.try_divide(k * F.col("source_size") + F.col("_before_words"), F.col("target"))
         position = None
         for c, knots in enumerate(plan.schedules):
             here = due(knots, share)

@@ -31,7 +31,7 @@ from pelagrid.llm.graph import AT, SLICE, running, sliced, written
 @dataclass(frozen=True)
 class Plan:
     shards: int = 16
-    rounds: int = 8  # at most; stops when no document asks to move
+    rounds: int = 12  # at most; stops when no document asks to move
 
 
 def _identity(text: Column) -> list[Column]:
@@ -56,18 +56,23 @@ def _index(ordered: DataFrame, groups: list[str], name: str) -> DataFrame:
     return running(ordered.withColumn("_one", F.lit(1)), groups, "_one", name).drop("_one")
 
 
-def _requests(placed: DataFrame, plan: Plan, capacity: int, round_: int) -> DataFrame:
-    """link, from, target, members for the cells (link, shard) that ask to move.
+def _requests(placed: DataFrame, capacity: int, round_: int) -> DataFrame:
+    """link, shard and target for the cells (link, shard) that ask to move.
 
     A link's documents agree on the shard with most of them (ties by a hash), among
-    shards that they do not fill already. Documents there, or on a shard they fill, stay.
+    shards that they do not fill already and that still have documents which can give
+    way. Documents there, or on a shard they fill, stay.
     """
+    open_shards = [r.shard for r in placed.where("alone").select("shard").distinct().collect()]
+    eligible = F.col("n") < capacity
+    if open_shards:
+        eligible = eligible & F.col("shard").isin(open_shards)
     cells = placed.groupBy(*LINK, "shard").agg(F.count("*").alias("n"))
     entry = F.struct(
         F.col("n"), F.xxhash64(*LINK, "shard", F.lit(round_)).alias("tie"), F.col("shard")
     )
     best = cells.groupBy(*LINK).agg(
-        F.max(F.when(F.col("n") < capacity, entry)).alias("best"), F.sum("n").alias("all")
+        F.max(F.when(eligible, entry)).alias("best"), F.sum("n").alias("all")
     )
     return (
         cells.join(best, LINK)
@@ -88,7 +93,7 @@ def propagate(linked: DataFrame, plan: Plan = Plan()) -> DataFrame:
     total = placed.count()
     capacity = max(total // plan.shards, 1)
     for round_ in range(plan.rounds):
-        asked = written(_requests(placed, plan, capacity, round_), "requests")
+        asked = written(_requests(placed, capacity, round_), "requests")
         if asked.isEmpty():
             break
         moves = placed.join(asked, [*LINK, "shard"], "left")
