@@ -124,7 +124,7 @@ def shard_rows():
     rows = [(i, f"text {i}", "s", 0, True, 9) for i in range(300)]
     rows += [(1000 + i, f"group {i % 20}", "s", 0, True, 9) for i in range(100)]
     rows += [(2000 + i, "a group above the size of a shard", None, 0, True, 9) for i in range(90)]
-    rows += [(None, None, None, None, None, None), (7, "", "s", 0, True, 9), rows[0], (8, "é" * 5000, "s", 0, True, 9)]
+    rows += [(None, None, None, None, None, None), (9007, "", "s", 0, True, 9), rows[0], (9008, "é" * 5000, "s", 0, True, 9)]
     return rows
 
 
