@@ -25,6 +25,8 @@ def floored(value: Column, floor: float = 0.0) -> Column:
 # Sums and quotients are settled at this many decimals before halves are judged, so
 # that a result does not depend on the order in which partial sums were added.
 SETTLED_DECIMALS = 12
+# Doubles from here on are whole numbers.
+WHOLE_FROM = 2.0**52
 
 
 def rounded(value: Column, digits: int) -> Column:
@@ -35,11 +37,14 @@ def rounded(value: Column, digits: int) -> Column:
 def whole_steps(value: Column, digits: int) -> Column:
     """``rounded`` as a whole number of 10^-digits, for columns of many rows.
 
-    Plain arithmetic: ``round`` on doubles goes through a decimal object per row.
+    Plain arithmetic: ``round`` on doubles goes through a decimal object per row. The
+    result stays a double: NaN and infinities are kept, and a value so large that
+    doubles have no fractions there is whole already.
     """
     per_unit = 10.0**digits
     half = 0.5 + 0.5 * per_unit / 10.0**SETTLED_DECIMALS
-    steps = F.floor(F.abs(value) * F.lit(per_unit) + F.lit(half))
+    scaled = F.abs(value) * F.lit(per_unit)
+    steps = F.when(scaled < F.lit(WHOLE_FROM), F.floor(scaled + F.lit(half)).cast("double")).otherwise(scaled)
     return F.when(value < 0, -steps).otherwise(steps)
 
 

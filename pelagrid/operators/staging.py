@@ -17,6 +17,9 @@ from pelagrid.functions.classify import pixel_distance_category
 from pelagrid.functions.grid import cell_key, snap, surrogate_key, time_text
 from pelagrid.functions.numeric import to_ms, whole_steps
 
+# No coordinate is larger, in any convention of longitude.
+MAX_DEGREES = 720.0
+
 
 def smoke_subset(
     raw: DataFrame, sites: Iterable[str] = SMOKE_SITES, year: int | None = SMOKE_YEAR
@@ -93,12 +96,15 @@ def pixel_keys(df: DataFrame) -> DataFrame:
     """Coordinates at three decimals, on which two pixel rasters meet.
 
     Kept as whole thousandths: integers hash, compare and shuffle cheaper than
-    rounded doubles, and a raster step is larger than a thousandth of a degree.
+    rounded doubles, and a raster step is larger than a thousandth of a degree. A pixel
+    without finite coordinates is no place and meets none.
     """
-    return df.withColumns(
+    lat, lon = F.col("latitude"), F.col("longitude")
+    placed = df.where((F.abs(lat) <= MAX_DEGREES) & (F.abs(lon) <= MAX_DEGREES))
+    return placed.withColumns(
         {
-            "_plat": whole_steps(F.col("latitude"), 3),
-            "_plon": whole_steps(F.col("longitude"), 3),
+            "_plat": whole_steps(lat, 3).cast("long"),
+            "_plon": whole_steps(lon, 3).cast("long"),
         }
     )
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # What the operators rely on; set only on sessions this library creates.
@@ -32,21 +32,77 @@ def get_session(app: str = "pelagrid", master: str | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The cluster's shared checkpoint folder, from ``spark.checkpoint.dir``.
 
-    Taken from ``spark.checkpoint.dir``; only a session without one (a unit
-    test) gets a folder of its own.
+    A session on one machine that has none (a unit test) gets a folder of its own; on a
+    cluster that is an error, because executors do not see each other's disks.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="pelagrid-ckpt-"))
+        if configured is None:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="pelagrid-ckpt-")
+        sc.setCheckpointDir(configured)
     return configured or sc.getCheckpointDir()
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/pelagrid/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/pelagrid/{label}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this process wrote to scratch paths; frames that read them end here."""
+    while _scratch:
+        delete_folder(spark, _scratch.pop())
+
+
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, whatever store it is in."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own, own.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    own, store = _folder(spark, path)
+    store.delete(own, True)
+
+
+def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write beside ``path`` and switch over: a write that fails leaves the old files readable.
+
+    The switch is two renames, so between them a reader may find nothing, never a part.
+    """
+    mark = uuid.uuid4().hex
+    beside, before = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    try:
+        write(beside)
+    except Exception:
+        delete_folder(spark, beside)
+        raise
+    target, store = _folder(spark, path)
+    replaced = store.exists(target)
+    if replaced:
+        store.rename(target, _folder(spark, before)[0])
+    store.rename(_folder(spark, beside)[0], target)
+    if replaced:
+        delete_folder(spark, before)
+
+
+def require_utc(spark: SparkSession) -> None:
+    """Keys, months and days are texts of UTC times; another session zone would change them."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    rules = spark._jvm.java.time.ZoneId.of(zone).getRules()
+    epoch = spark._jvm.java.time.Instant.EPOCH
+    if not (rules.isFixedOffset() and rules.getOffset(epoch).getTotalSeconds() == 0):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone}")
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -57,13 +113,15 @@ def stage(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def read_once(batch: DataFrame) -> Iterator[DataFrame]:
-    """Keep a batch on executor disks while several jobs read it.
+    """Stage a batch in the shared folder while several jobs read it.
 
     Range partitioning samples its input first, so without this a landed file
-    would be parsed once per pass. A lost executor only recomputes its part.
+    would be parsed once per pass. The copy is deleted afterwards.
     """
-    kept = batch.persist(StorageLevel.DISK_ONLY)
+    spark = batch.sparkSession
+    path = scratch_path(spark, "batch")
+    batch.write.parquet(path)
     try:
-        yield kept
+        yield spark.read.schema(batch.schema).parquet(path)
     finally:
-        kept.unpersist()
+        delete_folder(spark, path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagrid.functions.numeric import clean_numeric
 from pelagrid.schemas import hourly_response, hourly_table
-from pelagrid.session import read_once
+from pelagrid.session import read_once, require_utc
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
@@ -57,24 +57,35 @@ def explode_hourly(responses: DataFrame, variables: tuple[str, ...]) -> DataFram
     )
 
 
-def write_landing(hourly: DataFrame, root: str) -> None:
-    """Line-delimited JSON in one folder per site, as ``location_name=<site>``.
+def write_landing(hourly: DataFrame, root: str, period: str | None = None) -> None:
+    """Line-delimited JSON in ``location_name=<site>/period=<first day>_<last day>``.
+
+    Landing a site's period again replaces it and nothing else. Without ``period`` each
+    site's folder is named by the first and last day of its rows in this batch.
 
     Range partitioning on (site, time) lets several tasks share a large site and
     keeps each task inside few sites, so folders do not fill with small files.
     """
+    require_utc(hourly.sparkSession)
     text = F.date_format("observation_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     with read_once(hourly.withColumn("observation_time", text)) as rows:
+        day = F.coalesce(F.substring("observation_time", 1, 10), F.lit("none"))
+        named = F.concat_ws("_", F.min(day), F.max(day)) if period is None else F.max(F.lit(period))
+        periods = rows.groupBy(F.col("location_name").alias("_site")).agg(named.alias("period"))
         (
-            rows.repartitionByRange("location_name", "observation_time")
-            .write.mode("append")
-            .partitionBy("location_name")
+            rows.join(periods, F.col("location_name").eqNullSafe(F.col("_site")))
+            .drop("_site")
+            .repartitionByRange("location_name", "observation_time")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("location_name", "period")
             .json(root)
         )
 
 
 def read_landing(spark: SparkSession, root: str, variables: tuple[str, ...]) -> DataFrame:
     """Declared schema, no inference; a malformed line fails the load."""
+    require_utc(spark)
     schema = hourly_table(variables)
     return (
         spark.read.schema(schema)

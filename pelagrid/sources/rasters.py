@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from pelagrid import schemas
 from pelagrid.config import FULL_RASTER, RasterGrid
+from pelagrid.session import replace_folder
 
 TILE_DEG = 15.0
 STRIP_ROWS = 200
+BLOCK_ROWS = 20  # raster rows of a strip that go to one task
 
 
 def clip_marine(pixels: DataFrame, extent: RasterGrid = FULL_RASTER) -> DataFrame:
@@ -48,31 +50,30 @@ def read_bathymetry(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def load_tiles(tiles: list[DataFrame], path: str) -> None:
-    """Replace the raw table by the union of tiles in one atomic overwrite.
+    """Replace the raw table by the union of tiles, written beside it and switched over.
 
     Truncating with the first tile and appending the rest would show a partial
-    table to readers in between.
+    table to readers in between, and a failed tile would leave none.
     """
     union = reduce(lambda a, b: a.unionByName(b), tiles)
-    union.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    replace_folder(union.sparkSession, path, lambda beside: union.write.parquet(beside))
 
 
 def write_strips(distances: DataFrame, root: str, grid: RasterGrid, strip_rows: int = STRIP_ROWS) -> None:
     """Coast distances in latitude strips named by their first raster row.
 
-    Hash partitioning by strip: a strip is at most ``strip_rows`` raster rows, and
+    Hash partitioning by strip and block of rows: a strip is several tasks and files, and
     range partitioning would run the distance transform twice, once to sample it.
     """
     row = F.floor((F.col("latitude") - grid.lat_min) / grid.res)
-    first = (F.floor(row / strip_rows) * strip_rows).cast("string")
-    (
-        distances.withColumn("strip", F.lpad(first, 5, "0"))
-        .repartition("strip")
+    first = (F.floor(row / strip_rows) * strip_rows).cast("int")
+    named = (
+        distances.withColumn("strip", F.format_string("%05d", first))
+        .repartition(F.col("strip"), F.floor(row / BLOCK_ROWS))
         .sortWithinPartitions("strip", "latitude", "longitude")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("strip")
-        .parquet(root)
+    )
+    replace_folder(
+        distances.sparkSession, root, lambda path: named.write.partitionBy("strip").parquet(path)
     )
 
 

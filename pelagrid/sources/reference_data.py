@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pelagrid import schemas
 from pelagrid.config import AREAS, Area
+from pelagrid.session import replace_folder
 
 SEED = Path(__file__).with_name("manually_excluded_sites.csv")
 
@@ -48,7 +49,7 @@ def read_areas(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_grid_points(points: DataFrame, path: str) -> None:
-    points.write.mode("overwrite").option("partitionOverwriteMode", "static").json(path)
+    replace_folder(points.sparkSession, path, lambda beside: points.write.json(beside))
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:

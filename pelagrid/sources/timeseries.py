@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pelagrid.schemas import hourly_table
-from pelagrid.session import read_once
+from pelagrid.session import read_once, require_utc, stage
 
 MONTH = "obs_month"
 KEY = ("location_name", "observation_time")
@@ -29,6 +31,7 @@ def append_hourly(hourly: DataFrame, path: str) -> None:
     month or a site with a large share of the rows is spread over tasks, and each
     task still writes to few months.
     """
+    require_utc(hourly.sparkSession)
     order = (MONTH, *KEY)
     with read_once(with_month(hourly)) as batch:
         (
@@ -43,20 +46,33 @@ def append_hourly(hourly: DataFrame, path: str) -> None:
 def merge_hourly(hourly: DataFrame, path: str) -> None:
     """Idempotent load: one row per (site, time), the new batch wins.
 
-    Only the months of the batch are read back and rewritten. Their list comes
-    from an aggregate over the batch, so its size is the number of months. The
-    range shuffle that lays the rows out also brings equal keys together, hence
-    de-duplication needs no shuffle of its own.
+    Rows without a site or a time have no key: of those only wholly equal rows are one.
+    Rows of one batch with the same key are ordered by all their values, so the
+    result does not depend on how they arrive.
+
+    Only the months of the batch (no month is one of them) are read back and rewritten.
+    Their list comes from an aggregate over the batch, so its size is the number of
+    months. The range shuffle that lays the rows out also brings equal keys together,
+    hence de-duplication needs no shuffle of its own. A table takes one writer at a
+    time: rows that another load adds to the same months meanwhile would be lost.
     """
     spark = hourly.sparkSession
+    require_utc(spark)
     order = (MONTH, *KEY)
-    newest = Window.partitionBy(*order).orderBy(F.col("_new").desc())
+    keyless = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in KEY))
+    itself = F.when(keyless, F.struct(*[c for c in hourly.columns if c != MONTH]))
+    newest = Window.partitionBy(*order, itself).orderBy(
+        F.col("_new").desc(), *(F.col(c).desc_nulls_last() for c in hourly.columns if c not in order)
+    )
     with read_once(with_month(hourly).withColumn("_new", F.lit(1))) as batch:
         months = [r[0] for r in batch.select(MONTH).distinct().collect()]
         stored = _read_if_present(spark, path, hourly.schema)
         rows = batch
         if stored is not None:
-            old = stored.where(F.col(MONTH).isin(months)).withColumn("_new", F.lit(0))
+            touched = F.col(MONTH).isin([m for m in months if m is not None])
+            if None in months:
+                touched = touched | F.col(MONTH).isNull()
+            old = stored.where(touched).withColumn("_new", F.lit(0))
             rows = batch.unionByName(old.select(*batch.columns))
         (
             rows.repartitionByRange(*order)
@@ -104,15 +120,26 @@ def loaded_rows(requests: DataFrame, hourly: DataFrame) -> DataFrame:
     """Rows stored per request (location_name, start_date, end_date); 0 if none.
 
     The series is counted per site and day first, so what meets the requests is
-    one row per site-day and not the observations.
+    one row per site-day and not the observations. Both sides carry the month: a request
+    meets the days of its own months only.
     """
     per_day = hourly.groupBy(
         "location_name", F.to_date("observation_time").alias("_day")
     ).agg(F.count(F.lit(1)).alias("_n"))
     wanted = ["location_name", "start_date", "end_date"]
-    matched = requests.join(per_day, "location_name", "left").where(
-        F.col("_day").between(F.col("start_date"), F.col("end_date"))
+    month = lambda day: F.trunc(day, "month")
+    spans = (
+        requests.where("start_date <= end_date")
+        .select(*wanted)
+        .distinct()
+        .withColumn(
+            "_month",
+            F.explode(F.sequence(month("start_date"), month("end_date"), F.expr("INTERVAL 1 MONTH"))),
+        )
     )
+    matched = spans.join(
+        per_day.withColumn("_month", month("_day")), ["location_name", "_month"]
+    ).where(F.col("_day").between(F.col("start_date"), F.col("end_date")))
     counts = matched.groupBy(*wanted).agg(F.sum("_n").alias("row_count"))
     return (
         requests.join(counts, wanted, "left")
@@ -123,8 +150,8 @@ def loaded_rows(requests: DataFrame, hourly: DataFrame) -> DataFrame:
 
 def require_loaded(requests: DataFrame, hourly: DataFrame) -> None:
     """Raise for the first few requests that loaded nothing."""
-    empty = loaded_rows(requests, hourly).where(~F.col("loaded"))
+    empty = stage(loaded_rows(requests, hourly).where(~F.col("loaded")))
     failed = empty.orderBy("location_name", "start_date").limit(5).collect()
     if failed:
         listed = ", ".join(f"{r.location_name} ({r.start_date}..{r.end_date}): 0" for r in failed)
-        raise EmptyLoad(f"No rows loaded for {listed}")
+        raise EmptyLoad(f"No rows loaded for {listed} (requests without rows: {empty.count()})")

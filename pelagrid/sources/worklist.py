@@ -10,6 +10,8 @@ from pelagrid.config import BACKFILL_YEARS
 
 def backfill_requests(sites: DataFrame, first: int = BACKFILL_YEARS[0], last: int = BACKFILL_YEARS[1]) -> DataFrame:
     """One request per site and calendar year; years are unnested, not joined."""
+    if first > last:
+        raise ValueError(f"no years from {first} to {last}")
     years = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year")
     return sites.select("location_name", years).select(
         "location_name",

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")

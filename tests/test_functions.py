@@ -203,3 +203,11 @@ def test_wind_and_wave_scores(one, spark):
     floating = scoring.wave_score(F.lit("floating"), F.col("v"), CURVES)
     assert each(spark, fixed, [0.0, 1.0, 4.0, 9.0, None]) == [1.0, 0.75, 0.0, 0.0, None]
     assert each(spark, floating, [1.5, 6.0]) == [0.75, 0.0]
+
+
+def test_speeds_that_are_no_number_or_huge_are_kept(spark):
+    values = [float("nan"), float("inf"), 1e16, -1e16, 36.0, None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select(numeric.to_ms(F.col("v")).alias("x")).collect()
+    got = [r.x for r in rows]
+    assert got[0] != got[0] and got[1] == float("inf") and got[5] is None and got[4] == 10.0
+    assert abs(got[2] - 1e16 / 3.6) < 1 and got[3] == -got[2]

@@ -225,10 +225,6 @@ def test_grid_points_and_registry(spark, frame, tmp_path):
         ("WIDE_1.0_1.0", -30.0),
         ("WIDE_-2.0_0.0", -40.0),
     }
-    by_shuffle = gridpoints.pixels_in_areas(sea, areas, broadcast_tiles=0)
-    by_broadcast = gridpoints.pixels_in_areas(sea, areas)
-    assert sorted(by_shuffle.collect()) == sorted(by_broadcast.collect())
-    assert "SortMergeJoin" in by_shuffle._jdf.queryExecution().executedPlan().toString()
     reference_data.write_grid_points(points, str(tmp_path / "points"))
     registry = reference_data.read_registry(spark, str(tmp_path / "points"))
     assert {r.location_name for r in registry.collect()} == {r.key for r in points.collect()}
@@ -243,3 +239,79 @@ def test_staging_keys(frame):
     assert stamp in keys
     row = df.first()
     assert (row.snap_lat, row.snap_lon, row.year, row.month) == (43.125, 4.125, 2023, 1)
+
+
+def test_merge_keeps_rows_without_a_key_and_is_deterministic(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    schema = RAW_WAVE
+    row = lambda s, t, h: (s, 43.0, 4.0, t and dt.datetime.fromisoformat(t), h, 1.0, 5.0)
+    first = frame([row("a", None, 1.0), row("a", None, 2.0), row("a", None, 2.0), row(None, "2023-01-01T00:00:00", 3.0)], schema)
+    same = frame([row("x", "2023-05-01T00:00:00", float(h)) for h in range(50)], schema)
+    for batch in (first, frame([row("b", None, 4.0)], schema), first, same.repartition(7)):
+        timeseries.merge_hourly(batch, path)
+    got = timeseries.read_hourly(spark, path, WAVE_VARS).collect()
+    assert sorted((str(r.location_name), r.wave_height) for r in got) == [
+        ("None", 3.0), ("a", 1.0), ("a", 2.0), ("b", 4.0), ("x", 49.0),
+    ]
+
+
+def test_landing_again_replaces_the_period_only(spark, frame, tmp_path):
+    root = str(tmp_path / "landing")
+    one = waves(frame, ("a", "2023-01-01T00:00:00", 1.0), ("b", "2023-01-01T00:00:00", 2.0))
+    hourly.write_landing(one, root)
+    hourly.write_landing(one, root)
+    hourly.write_landing(waves(frame, ("a", "2023-02-01T00:00:00", 3.0)), root)
+    got = hourly.read_landing(spark, root, WAVE_VARS).collect()
+    assert sorted((r.location_name, r.wave_height) for r in got) == [("a", 1.0), ("a", 3.0), ("b", 2.0)]
+
+
+def test_a_failed_load_leaves_the_old_table(spark, frame, tmp_path):
+    table = str(tmp_path / "table")
+    good = frame([(40.0, 3.0, -5.0)] * 10, RAW_BATHYMETRY)
+    rasters.load_tiles([good], table)
+    bad = good.withColumn("elevation_m", F.raise_error(F.lit("broken tile")).cast("double"))
+    with pytest.raises(Exception, match="broken tile"):
+        rasters.load_tiles([good, bad], table)
+    assert rasters.read_bathymetry(spark, table).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["table"]
+
+
+def test_late_strips_have_names_of_their_own(spark, frame, tmp_path):
+    grid = RasterGrid(0.0, 200_000.0, 0.0, 10.0, 1.0)
+    df = frame([(float(r) + 0.5, 1.5, 1.0) for r in (12_340, 123_400, 123_401, 123_430)], RAW_COASTLINE)
+    root = tmp_path / "strips"
+    rasters.write_strips(df, str(root), grid, strip_rows=20)
+    assert sorted(p.name for p in root.glob("strip=*")) == ["strip=12340", "strip=123400", "strip=123420"]
+
+
+def test_pixels_without_a_place_meet_none(frame):
+    nan, inf = float("nan"), float("inf")
+    coast = frame([(nan, 1.0, 2.0), (0.0, 0.0, 2.0), (inf, 0.0, 2.0), (None, 0.0, 2.0)], RAW_COASTLINE)
+    sea = frame([(0.0, 0.0, -1.0), (nan, 1.0, -1.0), (nan, nan, -1.0)], RAW_BATHYMETRY)
+    assert [(r.latitude, r.longitude) for r in staging.stg_coastline_distance(coast, sea).collect()] == [(0.0, 0.0)]
+
+
+def test_years_in_reverse_are_an_error(frame):
+    with pytest.raises(ValueError, match="2025 to 2024"):
+        worklist.backfill_requests(frame([("a",)], "location_name string"), 2025, 2024)
+
+
+def test_other_session_zones_are_refused(spark, frame, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            timeseries.append_hourly(frame([], RAW_WAVE), str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_daily_requests_meet_days_of_their_month(spark, frame):
+    stored = waves(frame, ("a", "2023-01-31T10:00:00", 1.0), ("a", "2023-02-01T10:00:00", 1.0))
+    day = dt.date.fromisoformat
+    requests = frame(
+        [("a", day("2023-01-31"), day("2023-02-01")), ("a", day("2023-02-01"), day("2023-02-01")), ("a", day("2023-03-02"), day("2023-03-01"))],
+        "location_name string, start_date date, end_date date",
+    )
+    counted = timeseries.loaded_rows(requests, stored)
+    assert sorted(r.row_count for r in counted.collect()) == [0, 1, 2]
+    assert "_month" in counted._jdf.queryExecution().optimizedPlan().toString()
