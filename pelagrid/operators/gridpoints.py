@@ -10,21 +10,17 @@ from pelagrid.functions.numeric import rounded
 
 # Areas and pixels meet on whole-degree tiles before the exact box test.
 _TILE_DEG = 1.0
-# Broadcast the areas' tiles up to this counted number (about 10 MB).
-BROADCAST_TILES = 100_000
 
 
 def _tile(coord: str):
     return F.floor(F.col(coord) / F.lit(_TILE_DEG))
 
 
-def pixels_in_areas(
-    raw_bathymetry: DataFrame, areas: DataFrame, broadcast_tiles: int = BROADCAST_TILES
-) -> DataFrame:
+def pixels_in_areas(raw_bathymetry: DataFrame, areas: DataFrame) -> DataFrame:
     """Pixels tagged with each active area whose box and depth range hold them.
 
-    A range join, made an equi-join by listing the tiles an area touches. The tiles
-    are counted: few are broadcast, many are joined by a shuffle on the tile.
+    A range join, made an equi-join by listing the tiles an area touches. Adaptive
+    execution chooses the kind of join by the measured size of the tiles.
     """
     boxes = (
         areas.where("active")
@@ -39,8 +35,6 @@ def pixels_in_areas(
         & F.col("longitude").between(F.col("lon_min"), F.col("lon_max"))
         & F.col("elevation_m").between(F.col("depth_max_m"), F.lit(0.0))
     )
-    few = boxes.count() <= broadcast_tiles
-    boxes = F.broadcast(boxes) if few else boxes.hint("merge")
     return pixels.join(boxes, ["_ty", "_tx"]).where(inside)
 
 

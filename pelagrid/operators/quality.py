@@ -126,10 +126,6 @@ EXPECTATIONS: dict[str, Expect] = {
     ),
 }
 
-# A record key is a hash of these columns: grouping by them finds the same
-# duplicates without hashing and shuffling the key text.
-NATURAL_KEYS = {"record_id": ("location_name", "observation_time")}
-
 
 def duplicates(df: DataFrame, *columns: str) -> DataFrame:
     """Values that occur more than once, NULLs aside, with their row counts."""
@@ -160,14 +156,19 @@ def _finish(lines: DataFrame) -> DataFrame:
     return lines.withColumn("passed", F.col("failures") == 0)
 
 
-def column_report(df: DataFrame, model: str, expect: Expect) -> DataFrame | None:
-    """All not_null and accepted_values lines of a model in one pass."""
+TESTS = ("unique", "not_null", "accepted_values")
+
+
+def column_report(
+    df: DataFrame, model: str, expect: Expect, tests: tuple[str, ...] = TESTS
+) -> DataFrame | None:
+    """The not_null and accepted_values lines asked for, in one pass; None if there are none."""
     aggregates, lines = [], []
-    for column in expect.not_null:
+    for column in expect.not_null if "not_null" in tests else ():
         name = f"null_{column}"
         aggregates.append(F.count_if(F.col(column).isNull()).alias(name))
         lines.append(_line(model, "not_null", column, name))
-    for column, values in expect.accepted.items():
+    for column, values in expect.accepted.items() if "accepted_values" in tests else ():
         name = f"odd_{column}"
         aggregates.append(F.count_if(~F.col(column).isin(*values)).alias(name))
         lines.append(_line(model, "accepted_values", column, name))
@@ -180,9 +181,7 @@ def unique_report(df: DataFrame, model: str, expect: Expect) -> list[DataFrame]:
     """One line per unique column: how many values repeat."""
     reports = []
     for column in expect.unique:
-        keys = NATURAL_KEYS.get(column, (column,))
-        keys = keys if set(keys) <= set(df.columns) else (column,)
-        repeated = duplicates(df, *keys).agg(F.count(F.lit(1)).alias("repeated"))
+        repeated = duplicates(df, column).agg(F.count(F.lit(1)).alias("repeated"))
         reports.append(
             _finish(repeated.select(F.inline(F.array(_line(model, "unique", column, "repeated")))))
         )

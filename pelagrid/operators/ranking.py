@@ -1,37 +1,42 @@
 """Global ranks without a single-task sort of unbounded input.
 
-A window without PARTITION BY moves all rows to one task. Site tables are small,
-so that is what happens up to ``single_task_rows`` counted rows. Beyond it rows
-are range-partitioned on the sort key, numbered inside each slice, and shifted by
-the number of rows in the slices before it. The slices are checkpointed first:
-slice borders come from sampling, and every later use must see the same ones.
+A window without PARTITION BY moves all rows to one task. Here rows are range-partitioned
+on the sort key, numbered inside each slice, and shifted by the number of rows in the
+slices before it. The slices are checkpointed: slice borders come from sampling, and
+every later use must see the same ones. Small tables are one or two slices of the
+same plan.
+
+A range split cannot divide equal keys, so ``row_number`` and ``ntile`` want an order that
+is unique per row. ``rank`` and ``value_tiles`` work on counts per distinct value, whatever
+number of rows shares one.
 """
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagrid.session import stage
 
-SINGLE_TASK_ROWS = 500_000
-
 
-def _running_total(df: DataFrame, order: list[Column], weight: Column, out: str, slices: int) -> DataFrame:
-    """Inclusive running sum of ``weight`` over all rows in ``order``."""
+def _running_total(df: DataFrame, order: list[Column], weight: Column, out: str, total: str = "_all") -> DataFrame:
+    """Inclusive running sum of ``weight`` in ``order``, and the sum over all rows."""
     sliced = stage(
-        df.repartitionByRange(slices, *order).withColumns(
+        df.repartitionByRange(*order).withColumns(
             {"_slice": F.spark_partition_id(), "_weight": weight.cast("long")}
         )
     )
-    # At most ``slices`` rows: the size of both the window and the broadcast.
+    # One row per slice: the size of both the window and the broadcast.
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = (
         sliced.groupBy("_slice")
         .agg(F.sum("_weight").alias("_size"))
-        .select("_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+        .select(
+            "_slice",
+            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_size").over(every).alias(total),
+        )
     )
     inside = (
         Window.partitionBy("_slice")
@@ -45,59 +50,57 @@ def _running_total(df: DataFrame, order: list[Column], weight: Column, out: str,
     )
 
 
-def _slices(rows: int, single_task_rows: int) -> int:
-    return ceil(rows / single_task_rows) + 1
+def row_number(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """1..n in ``order``, which must be unique per row to be deterministic."""
+    numbered = _running_total(df, order, F.lit(1), out)
+    return numbered.withColumn(out, F.col(out).cast("int")).drop("_all")
 
 
-def row_number(
-    df: DataFrame, order: list[Column], out: str, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
-    """1..n in ``order``, which must be unique per row to be deterministic."""
-    base = stage(df)
-    rows = base.count()
-    if rows <= single_task_rows:
-        return base.withColumn(out, F.row_number().over(Window.orderBy(*order)))
-    numbered = _running_total(base, order, F.lit(1), out, _slices(rows, single_task_rows))
-    return numbered.withColumn(out, F.col(out).cast("int"))
+def _tile(place: Column, rows: Column, tiles: int) -> Column:
+    """Tile of the row at ``place`` (from 1) of ``rows``; the first tiles take the remainder."""
+    size, larger = F.floor(rows / tiles), F.pmod(rows, F.lit(tiles))
+    head = larger * (size + 1)
+    late = F.floor((place - 1 - head) / F.greatest(size, F.lit(1))) + larger
+    return (F.when(place <= head, F.floor((place - 1) / (size + 1))).otherwise(late) + 1).cast("int")
 
 
-def ntile(
-    df: DataFrame, tiles: int, order: list[Column], out: str, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def ntile(df: DataFrame, tiles: int, order: list[Column], out: str) -> DataFrame:
     """Tile numbers of near-equal size; the first tiles take the remainder."""
-    base = stage(df)
-    rows = base.count()
-    if rows <= single_task_rows:
-        return base.withColumn(out, F.ntile(tiles).over(Window.orderBy(*order)))
-    numbered = _running_total(base, order, F.lit(1), "_rn", _slices(rows, single_task_rows))
-    size, larger = divmod(rows, tiles)
-    position, head = F.col("_rn") - 1, larger * (size + 1)
-    tile = F.when(
-        position < head, F.floor(position / F.lit(size + 1))
-    ).otherwise(F.floor((position - head) / F.lit(max(size, 1))) + larger)
-    return numbered.withColumn(out, (tile + 1).cast("int")).drop("_rn")
-
-
-def rank(
-    df: DataFrame, values: dict[str, Column], single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+    numbered = _running_total(df, order, F.lit(1), "_rn")
+    return numbered.withColumn(out, _tile(F.col("_rn"), F.col("_all"), tiles)).drop("_rn", "_all")
+
+
+def value_tiles(df: DataFrame, value: str, tiles: int, out: str) -> DataFrame:
+    """(value, ``out``, n): how many rows of each distinct value, ascending, fall in each tile.
+
+    What NTILE gives when rows of one value are interchangeable, by arithmetic on counts:
+    a value that most rows share is one row here.
+    """
+    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    upto = _running_total(counted, [F.asc(value)], F.col("_n"), "_upto")
+    first, last = F.col("_upto") - F.col("_n") + 1, F.col("_upto")
+    spread = upto.withColumn(
+        out, F.explode(F.sequence(_tile(first, F.col("_all"), tiles), _tile(last, F.col("_all"), tiles)))
+    )
+    size, larger = F.floor(F.col("_all") / tiles), F.pmod("_all", F.lit(tiles))
+    end = F.col(out) * size + F.least(F.col(out), larger)
+    start = (F.col(out) - 1) * size + F.least(F.col(out) - 1, larger)
+    n = F.least(last, end) - F.greatest(first - 1, start)
+    return spread.select(value, out, n.cast("long").alias("n"))
+
+
+def rank(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     """RANK() by descending value, for several values at once.
 
-    ``values`` maps the output column to the expression ranked. The large form
-    ranks the distinct values, counted first, and joins the result back.
+    ``values`` maps the output column to the expression ranked. Distinct values are counted and
+    ranked, and the result is joined back.
     """
-    base = stage(df)
-    rows = base.count()
-    if rows <= single_task_rows:
-        return base.withColumns(
-            {out: F.rank().over(Window.orderBy(value.desc())) for out, value in values.items()}
-        )
-    ranked = base.withColumns({f"_v_{out}": value for out, value in values.items()})
+    ranked = stage(df.withColumns({f"_v_{out}": value for out, value in values.items()}))
     for out in values:
         key = f"_v_{out}"
         counted = ranked.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        totals = _running_total(
-            counted, [F.col(key).desc()], F.col("_n"), "_upto", _slices(rows, single_task_rows)
-        ).select(F.col(key).alias("_key"), (F.col("_upto") - F.col("_n") + 1).cast("int").alias(out))
+        totals = _running_total(counted, [F.col(key).desc()], F.col("_n"), "_upto").select(
+            F.col(key).alias("_key"), (F.col("_upto") - F.col("_n") + 1).cast("int").alias(out)
+        )
         ranked = ranked.join(totals, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
     return ranked.drop(*(f"_v_{out}" for out in values))

@@ -6,20 +6,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from pelagrid.operators.quality import EXPECTATIONS, column_report, unique_report
+from pelagrid.operators.quality import EXPECTATIONS, TESTS, column_report, unique_report
 from pelagrid.plans.pipeline import Pipeline
 
 
-def run(p: Pipeline, tests: tuple[str, ...] = ("unique", "not_null", "accepted_values")) -> DataFrame:
+def run(p: Pipeline, tests: tuple[str, ...] = TESTS) -> DataFrame:
     """(model, test, column_name, failures, passed), one line per expectation."""
     lines: list[DataFrame] = []
     for model, expect in EXPECTATIONS.items():
+        asked = {"unique": expect.unique, "not_null": expect.not_null, "accepted_values": expect.accepted}
+        if not any(asked[t] for t in tests):
+            continue
         df = p.model(model)
         if "unique" in tests:
             lines += unique_report(df, model, expect)
-        by_column = column_report(df, model, expect)
+        by_column = column_report(df, model, expect, tests)
         if by_column is not None:
-            kept = [t for t in ("not_null", "accepted_values") if t in tests]
-            if kept:
-                lines.append(by_column.where(by_column["test"].isin(kept)))
+            lines.append(by_column)
     return reduce(lambda a, b: a.unionByName(b), lines)

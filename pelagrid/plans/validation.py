@@ -47,8 +47,7 @@ def site_counts(p: Pipeline) -> DataFrame:
 
 
 def viability_breakdown(p: Pipeline) -> DataFrame:
-    gis = p.model("composite_unfiltered")
-    return gis.groupBy("viability_flag").agg(_count().alias("site_count"))
+    return p.model("mart_gis").groupBy("viability_flag").agg(_count().alias("site_count"))
 
 
 def turbine_distribution(p: Pipeline) -> DataFrame:
@@ -125,7 +124,7 @@ def gate_boundary(p: Pipeline) -> DataFrame:
     """Viable sites just inside a gate, nearest to the coast first."""
     near = near_gate(F.col("depth_m"), F.col("turbine_type"), F.col("distance_to_coast_km"))
     return (
-        p.model("composite_unfiltered")
+        p.model("mart_gis")
         .where((F.col("viability_flag") == FLAG_VIABLE) & near)
         .select(
             "site_name",
@@ -155,12 +154,12 @@ def score_distribution(p: Pipeline) -> DataFrame:
 def score_deciles(p: Pipeline) -> DataFrame:
     scores = p.model("composite").select("final_score")
     return (
-        ranking.ntile(scores, 10, [F.asc("final_score")], "decile")
+        ranking.value_tiles(scores, "final_score", 10, "decile")
         .groupBy("decile")
         .agg(
             rounded(F.min("final_score"), 3).alias("min_score"),
             rounded(F.max("final_score"), 3).alias("max_score"),
-            _count().alias("site_count"),
+            F.sum("n").alias("site_count"),
         )
     )
 

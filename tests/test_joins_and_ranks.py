@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pelagrid.operators import joins, ranking
@@ -50,21 +51,32 @@ def order():
 
 
 def test_distributed_row_number_equals_window(scores):
-    small = ranking.row_number(scores, order(), "n").collect()
-    large = ranking.row_number(scores, order(), "n", single_task_rows=50).collect()
-    assert {(r.name, r.n) for r in small} == {(r.name, r.n) for r in large}
-    assert sorted(r.n for r in large) == list(range(1, 602))
+    plain = scores.withColumn("n", F.row_number().over(Window.orderBy(*order())))
+    sliced = ranking.row_number(scores, order(), "n").collect()
+    assert {(r.name, r.n) for r in plain.collect()} == {(r.name, r.n) for r in sliced}
+    assert sorted(r.n for r in sliced) == list(range(1, 602))
 
 
 @pytest.mark.parametrize("tiles", [1, 7, 10, 1000])
 def test_distributed_ntile_equals_window(scores, tiles):
-    small = ranking.ntile(scores, tiles, order(), "t").collect()
-    large = ranking.ntile(scores, tiles, order(), "t", single_task_rows=50).collect()
-    assert {(r.name, r.t) for r in small} == {(r.name, r.t) for r in large}
+    plain = scores.withColumn("t", F.ntile(tiles).over(Window.orderBy(*order()))).collect()
+    sliced = ranking.ntile(scores, tiles, order(), "t").collect()
+    assert {(r.name, r.t) for r in plain} == {(r.name, r.t) for r in sliced}
+    by_value = ranking.value_tiles(scores, "score", tiles, "t").collect()
+    # Within equal scores rows are interchangeable: only the counts are determined.
+    ascending = scores.withColumn("t", F.ntile(tiles).over(Window.orderBy("score"))).groupBy("score", "t")
+    assert {(r.score, r.t, r.n) for r in by_value} == {(r.score, r.t, r["count"]) for r in ascending.count().collect()}
+
+
+def test_a_score_of_most_rows_is_one_row_of_the_decile_plan(spark, frame):
+    many = spark.range(4000).selectExpr("CASE WHEN id % 10 > 0 THEN 0.5 ELSE id / 4000D END AS score")
+    tiles = ranking.value_tiles(many, "score", 10, "t").collect()
+    assert len([r for r in tiles if r.score == 0.5]) == 10 and sum(r.n for r in tiles) == 4000
+    assert {t: sum(r.n for r in tiles if r.t == t) for t in range(1, 11)} == dict.fromkeys(range(1, 11), 400)
 
 
 def test_distributed_rank_equals_window(scores):
     values = {"a": F.col("score"), "b": F.col("score") * -1.0}
-    small = ranking.rank(scores, values).collect()
-    large = ranking.rank(scores, values, single_task_rows=50).collect()
-    assert {(r.name, r.a, r.b) for r in small} == {(r.name, r.a, r.b) for r in large}
+    plain = scores.withColumns({k: F.rank().over(Window.orderBy(v.desc())) for k, v in values.items()}).collect()
+    sliced = ranking.rank(scores, values).collect()
+    assert {(r.name, r.a, r.b) for r in plain} == {(r.name, r.a, r.b) for r in sliced}

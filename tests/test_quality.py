@@ -33,7 +33,7 @@ def test_reports_count_failures(frame):
     assert {(r.column_name, r.failures) for r in unique} == {("k", 1), ("n", 0)}
 
 
-def test_record_id_duplicates_are_found_by_natural_key(frame):
-    df = frame([("x", "a", 1), ("x", "a", 1), ("y", "a", 2)], "record_id string, location_name string, observation_time int")
+def test_record_id_duplicates_are_found_by_the_declared_column(frame):
+    df = frame([("x", "a", None), ("x", "a", None), ("y", "a", 2)], "record_id string, location_name string, observation_time int")
     (report,) = quality.unique_report(df, "m", Expect(("record_id",)))
     assert report.first().failures == 1
