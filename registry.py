@@ -6,6 +6,7 @@ here, so that two engines adding in different orders can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -14,10 +15,10 @@ from pyspark.sql import functions as F
 
 from pelagrid.config import DEFAULT, RasterGrid
 from pelagrid.operators import gridpoints, raster
-from pelagrid.plans import quality_report, reports, validation
+from pelagrid.plans import materialize, quality_report, reports, validation
 from pelagrid.plans.pipeline import Pipeline
-from pelagrid.schemas import WAVE_VARS, WIND_VARS
-from pelagrid.session import scratch_path
+from pelagrid.schemas import EXCLUSIONS, WAVE_VARS, WIND_VARS
+from pelagrid.session import scratch_path, stage
 from pelagrid.sources import demo, hourly, rasters, reference_data, timeseries, worklist
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,15 +80,36 @@ def hourly_explode_wave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed twice: the second landing of a site's period replaces the first."""
     root = scratch_path(spark, "landing")
-    hourly.write_landing(demo.raw_wave(spark, sf_dir), root)
+    for _ in range(2):
+        hourly.write_landing(demo.raw_wave(spark, sf_dir), root)
     return comparable(hourly.read_landing(spark, root, WAVE_VARS))
 
 
+def landing_roundtrip_wind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "landing")
+    hourly.write_landing(demo.raw_wind(spark, sf_dir), root, period="2024-01-01_2024-12-31")
+    return comparable(hourly.read_landing(spark, root, WIND_VARS))
+
+
+def append_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain appends: what is loaded twice is stored twice."""
+    path = scratch_path(spark, "wind")
+    for _ in range(2):
+        timeseries.append_hourly(demo.spread_months(demo.raw_wind(spark, sf_dir)), path)
+    return comparable(timeseries.read_hourly(spark, path, WIND_VARS))
+
+
 def month_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load, then load again: the merge leaves one row per site and time."""
+    """Load, then load again: the merge leaves one row per site and time.
+
+    Rows with a direction that 45 divides lose their time: they have no key and no month.
+    """
     path = scratch_path(spark, "wind")
     wind = demo.spread_months(demo.raw_wind(spark, sf_dir))
+    timed = F.when(F.col("wind_direction_100m") % 45 != 0, F.col("observation_time"))
+    wind = wind.withColumn("observation_time", timed)
     timeseries.merge_hourly(wind.where(F.col("wind_speed_100m").isNotNull()), path)
     timeseries.merge_hourly(wind, path)
     return comparable(timeseries.read_hourly(spark, path, WIND_VARS))
@@ -113,6 +135,44 @@ def load_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeseries.loaded_rows(_requests(spark, sf_dir), stored)
 
 
+def load_guard_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request for every site and day of the wave table."""
+    day = F.to_date("observation_time")
+    waves = demo.raw_wave(spark, sf_dir)
+    requests = waves.select("location_name", day.alias("start_date"), day.alias("end_date")).distinct()
+    return timeseries.loaded_rows(requests, demo.spread_months(demo.raw_wind(spark, sf_dir)))
+
+
+def exclusions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranked table under an exclusion list that was written as CSV and read back."""
+    path = scratch_path(spark, "exclusions")
+    listed = demo.raw_wave(spark, sf_dir).where(F.col("location_name").endswith("_3.0"))
+    rows = listed.select(F.col("location_name").alias("site_name")).distinct()
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in EXCLUSIONS if f.name != "site_name"}
+    rows.withColumns(empty).select(*EXCLUSIONS.fieldNames()).write.option("header", True).csv(path)
+    raw = replace(demo.raw_tables(spark, sf_dir), exclusions=reference_data.read_exclusions(spark, path))
+    return comparable(Pipeline(raw, DEFAULT).model("mart_prioritization"))
+
+
+def truncated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a raw table before and after it is emptied."""
+    table = f"raw_wave_{uuid.uuid4().hex}"
+    demo.raw_wave(spark, sf_dir).write.saveAsTable(table)
+    before = spark.table(table).agg(F.count(F.lit(1)).alias("rows_before"))
+    before = stage(before)
+    timeseries.truncate_tables(spark, table, f"{table}_missing")
+    after = stage(spark.table(table).agg(F.count(F.lit(1)).alias("rows_after")))
+    spark.sql(f"DROP TABLE {table}")
+    return before.withColumn("_k", F.lit(1)).join(after.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+def published_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map export read back from its published table."""
+    database = f"site_marts_{uuid.uuid4().hex}"
+    materialize.publish_marts(spark, _pipeline(spark, sf_dir, shared=True), database=database)
+    return comparable(spark.table(f"{database}.mart_gis"))
+
+
 def tile_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles written apart, read back together, loaded as one table."""
     extent = RasterGrid(41.0, 45.0, 2.75, 6.25)
@@ -191,10 +251,16 @@ QUERIES: dict[str, Query] = {
     "hourly_explode_wind": hourly_explode_wind,
     "hourly_explode_wave": hourly_explode_wave,
     "landing_roundtrip": landing_roundtrip,
+    "landing_roundtrip_wind": landing_roundtrip_wind,
+    "append_roundtrip": append_roundtrip,
     "month_partition_roundtrip": month_partition_roundtrip,
     "smoke_subset": smoke_subset,
     "backfill_missing": backfill_missing,
     "load_guard": load_guard,
+    "load_guard_daily": load_guard_daily,
+    "exclusions_csv": exclusions_csv,
+    "truncated_table": truncated_table,
+    "published_marts": published_marts,
     "tile_union": tile_union,
     "grid_points": grid_points,
     "site_registry": site_registry,
