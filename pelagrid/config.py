@@ -1,7 +1,7 @@
 """Every threshold, weight and extent of the suitability model, as frozen data.
 
 Operators take these objects as arguments, so a sensitivity run is a
-``dataclasses.replace`` away and no number hides inside a query.
+``dataclasses.replace`` away. Category bounds stand beside their names in ``functions/classify.py``.
 """
 
 from __future__ import annotations
@@ -167,4 +167,4 @@ class Area:
 
 
 # The one configured study area.
-AREAS = (Area("gulf_of_lion", 40.5, 44.0, 2.5, 7.0, 0.25, 0.0, -2000.0, True, "north-western basin"),)
+AREAS = (Area("gulf_of_lion", 40.5, 44.0, 2.5, 7.0, 0.25, 0.0, -2000.0, True, "Gulf of Lion — northern Mediterranean, site of the EFGL floating offshore wind project"),)

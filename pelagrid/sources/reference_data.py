@@ -14,6 +14,7 @@ from pelagrid import schemas
 from pelagrid.config import AREAS, Area
 from pelagrid.session import replace_folder
 
+# The packaged exclusion list.
 SEED = Path(__file__).with_name("manually_excluded_sites.csv")
 
 
