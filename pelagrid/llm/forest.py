@@ -237,6 +237,22 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, forest: Forest) -> DataFrame:
     )
 
 
+ROW = ["doc_key", "text_id"]  # what tells rows apart
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """Identities that several rows share."""
+    key = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_key"), "text_id")
+    return written(key.groupBy(*ROW).count().where("count > 1").select(*ROW), "repeated")
+
+
+def _one_row_each(texts: DataFrame, keys: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The row of each key. Only texts of repeated rows go through a shuffle to drop repeats."""
+    single = matched(texts, keys.join(repeated, ROW, "left_anti"), ROW)
+    several = matched(texts, keys.join(repeated, ROW, "left_semi"), ROW).dropDuplicates(ROW)
+    return single.unionByName(several)
+
+
 def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (and text_id, set_a, set_b) for every row."""
     texts = documents.select(
@@ -270,10 +286,7 @@ def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFram
     )
     wanted = written(names.join(nodes, "node").select("node", "doc_key", "text_id"), "wanted")
     keyed = texts.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_key"), "text_id", "text")
-    chosen = written(
-        matched(keyed, wanted, ["doc_key", "text_id"]).select("node", "text").dropDuplicates(["node"]),
-        "texts",
-    )
+    chosen = written(_one_row_each(keyed, wanted, _repeated(rows)).select("node", "text"), "texts")
     turned = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "estimate")
     best = (
         pairs.unionByName(turned)
@@ -321,25 +334,23 @@ def deduplicated(documents: DataFrame, forest: Forest = Forest()) -> DataFrame:
     Texts are joined with the short keys of the rows that stay. Rows without words are
     duplicates of nothing but their own repetitions.
     """
-    found = near_duplicates(documents, forest)
-    id_key, text_key = F.coalesce("doc_id", F.lit(NO_ID)), F.col("text_id")
-    # The kept row's text decides between different texts with the same id.
+    found = written(near_duplicates(documents, forest), "components")
+    row = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_key"), "text_id")
     staying = written(
         found.where("kept")
         .groupBy(
-            F.coalesce("component_id", F.lit(NO_ID)).alias("_component"),
-            F.when(F.col("component_id").isNull(), F.col("set_a")).alias("_a"),
+            F.coalesce("component_id", F.lit(NO_ID)).alias("component"),
+            F.when(F.col("component_id").isNull(), F.col("set_a")).alias("unnamed"),
         )
-        .agg(F.min(F.struct(id_key.alias("doc_key"), F.coalesce(text_key, F.lit(0)).alias("text_key"))).alias("_row"))
-        .select(F.col("_row.doc_key").alias("_doc_key"), F.col("_row.text_key").alias("_text_key"))
+        .agg(F.min(row).alias("row"))
+        .select("row.*")
         .distinct(),
         "staying",
     )
-    keyed = documents.withColumns(
-        {
-            "_doc_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-            "_text_key": F.coalesce(F.xxhash64(F.col("text").cast("string")), F.lit(0)),
-        }
+    # The caller's columns travel as one, so none can clash with the keys.
+    keyed = documents.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_key"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_id"),
+        F.struct(*[F.col(c) for c in documents.columns]).alias("row"),
     )
-    kept = matched(keyed, staying, ["_doc_key", "_text_key"])
-    return kept.dropDuplicates(["_doc_key", "_text_key"]).select(*documents.columns)
+    return _one_row_each(keyed, staying, _repeated(found)).select("row.*")
