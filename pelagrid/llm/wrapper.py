@@ -29,12 +29,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pelagrid.llm.graph import written
+from pelagrid.llm.graph import matched, written
 
 LEAST_PAGES = 5
 SHARED_BY = 2  # pages with the same text in a slot make it a returning text
 RETURNING = 0.8  # share of a slot's pages with returning text that makes it template
 DEEPEST = 150
+BROADCAST_CHARS = 16_000_000  # of all hosts' skeletons; beyond, pages and skeletons are shuffled
 CELLS = 4_000_000  # cells of one alignment table; longer child lists are split in two
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -308,25 +309,38 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://([^/?#]*)", 1), F.lit("")))
 
 
+def skeleton(page: Column) -> Column:
+    """The tags of a page without its words and attributes: all that matching looks at."""
+    bare = F.regexp_replace(page, r"(?<=>)[^<]+", "")
+    return F.regexp_replace(bare, r"<([A-Za-z][^\s/>]*)\s[^>]*?(/?)>", "<$1$2>")
+
+
 def references(pages: DataFrame) -> DataFrame:
-    """host and the html of one page: of the most common shape, then the least hash.
+    """host and the skeleton of one page: of the most common shape, then the least hash.
 
     The shape is the sequence of tags that begin a page's larger parts, so it costs one
-    regular expression and no parsing.
+    regular expression and no parsing. Only hashes are grouped; html is not shuffled.
     """
     parts = F.regexp_extract_all(
         F.lower("html"), F.lit(r"<(/?(?:nav|header|main|article|section|aside|footer|form|ul|ol|table|div))\b"), F.lit(1)
     )
-    keyed = pages.where("length(html) > 0").select("host", "html", F.xxhash64(parts).alias("shape"))
-    counted = keyed.groupBy("host", "shape").agg(
-        F.count("*").alias("n"), F.min(F.struct(F.xxhash64("html").alias("h"), F.length("html").alias("l"))).alias("page")
+    some = pages.where("length(html) > 0")
+    counted = (
+        some.select("host", F.xxhash64(parts).alias("shape"), F.xxhash64("html").alias("page"))
+        .groupBy("host", "shape")
+        .agg(F.count("*").alias("n"), F.min("page").alias("page"))
     )
     chosen = counted.groupBy("host").agg(F.max(F.struct("n", "shape", "page")).alias("best"))
-    picked = chosen.select("host", F.col("best.page.h").alias("h"))
-    return (
-        keyed.select("host", "html", F.xxhash64("html").alias("h")).join(picked, ["host", "h"])
-        .groupBy("host").agg(F.min("html").alias("reference"))
-    )
+    picked = written(chosen.select("host", F.col("best.page").alias("page")), "picked")
+    own = some.select("host", skeleton(F.col("html")).alias("reference"), F.xxhash64("html").alias("page"))
+    return matched(own, picked, ["host", "page"]).groupBy("host").agg(F.min("reference").alias("reference"))
+
+
+def _with_reference(pages: DataFrame) -> DataFrame:
+    """Pages with their host's skeleton, broadcast while all of them are small."""
+    found = written(references(pages), "references")
+    size = found.agg(F.sum(F.length("host") + F.length("reference"))).first()[0] or 0
+    return pages.join(F.broadcast(found) if size <= BROADCAST_CHARS else found, "host", "left")
 
 
 def template_slots(blocks: DataFrame) -> DataFrame:
@@ -348,9 +362,8 @@ def extract(pages: DataFrame) -> DataFrame:
     own = pages.select(
         "page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")
     ).withColumn("host", host_of(F.col("url")))
-    paired = own.join(references(own), "host", "left")
     blocks = written(
-        paired.select("page_id", "url", "host", "html", "reference").mapInArrow(
+        _with_reference(own).select("page_id", "url", "host", "html", "reference").mapInArrow(
             _block_rows,
             "page_id long, url string, host string, "
             "blocks array<struct<slot: string, junk: boolean, main: boolean, text: string>>",
