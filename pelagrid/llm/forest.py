@@ -4,10 +4,10 @@ Each text becomes a set of word shingles; texts with equal sets form one class,
 number of copies costs one entry. A class has several signatures of ``DEPTH`` minimum
 hashes, one per tree. All signatures of a tree are sorted (range partitioned, so a region
 of any density is split over tasks), and each entry meets its nearest neighbours in that
-order: those with the longest common prefixes. Where a region is sparse the window
-reaches every entry down to ``BASE`` common hashes; where it is dense it ends at longer
-prefixes, which is the forest's adaptive depth. Neighbours at a partition's edge meet in a
-second pass over the edge rows.
+order: those with the longest common prefixes, and the most similar of the next ones.
+Where a region is sparse this reaches every entry down to ``BASE`` common hashes; where it
+is dense it ends at longer prefixes, which is the forest's adaptive depth. Neighbours at
+a partition's edge meet in a second pass over the edge rows.
 
 A candidate pair is compared by a byte per hash first and, unless that estimate lies
 more than 4.5 standard deviations below the threshold, confirmed on the full shingle sets
@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ from pelagrid.llm.graph import components, matched, written
 
 BASE = 3  # common hashes that make two entries of a tree neighbours
 DEPTH = 6  # hashes of one tree
-WINDOW = 16  # neighbours that each entry looks back to in each order
+WINDOW = 8  # neighbours on each side that an entry meets in each order
+REACH = 128  # and of those up to here, on each side, the
+FAR_PAIRS = 2  # best by their sketches
 MISSED = 1e-5  # chance that a pair at the threshold shares no base prefix
 NO_ID = (1 << 63) - 1  # stands for a null doc_id while the least one is sought
 
@@ -139,38 +142,51 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _neighbours(forest: Forest):
-    """Sorted entries in; candidate pairs (a, b, estimate) and, with a key, edge rows out."""
+    """Sorted entries in; candidate pairs (a, b, estimate) out, and edge rows: with a key, the
+    entry in ``a`` and the number of the slice boundary in ``b``."""
     base, key_width = 1 + 4 * BASE, 1 + 4 * DEPTH
     names = ["a", "b", "estimate", "key", "sketch"]
     chance = 1 / 256
 
+    def best(entry, score):
+        """Places of each entry's ``FAR_PAIRS`` best scores."""
+        order = np.lexsort((-score, entry))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = entry[order][1:] != entry[order][:-1]
+        place = np.arange(len(order)) - np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))
+        return order[place < FAR_PAIRS]
+
     def pairs(keys, sketches, nodes, fresh):
         """Pairs whose later entry is at or after ``fresh``."""
-        found = [np.zeros((2, 0), np.int64)]
-        scores = [np.zeros(0)]
-        for back in range(1, min(WINDOW, len(nodes) - 1) + 1):
+        near, far = [], []
+        for back in range(1, min(REACH, len(nodes) - 1) + 1):
             later = np.arange(max(fresh, back), len(nodes))
             later = later[(keys[later, :base] == keys[later - back, :base]).all(1)]
+            if len(later) == 0:
+                break  # sorted: entries further apart share no base prefix either
             same = (sketches[later] == sketches[later - back]).mean(1)
             score = (same - chance) / (1 - chance)
             kept = score >= forest.least_estimate
-            later, score = later[kept], score[kept]
-            x, y = nodes[later], nodes[later - back]
-            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
-            scores.append(score)
-        a, b = np.concatenate(found, axis=1)
-        n = len(a)
-        none = pa.nulls(n, pa.binary())
-        columns = [pa.array(a), pa.array(b), pa.array(np.concatenate(scores)), none, none]
+            found = np.stack([later[kept], later[kept] - back, score[kept]])
+            (near if back <= WINDOW else far).append(found)
+        none = np.zeros((3, 0))
+        chosen = [np.concatenate([none, *near], axis=1)]
+        more = np.concatenate([none, *far], axis=1)
+        if more.shape[1]:
+            chosen.append(more[:, np.union1d(best(more[0], more[2]), best(more[1], more[2]))])
+        later, earlier, score = np.concatenate(chosen, axis=1)
+        x, y = nodes[later.astype(np.int64)], nodes[earlier.astype(np.int64)]
+        blank = pa.nulls(len(x), pa.binary())
+        columns = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(score), blank, blank]
         return pa.RecordBatch.from_arrays(columns, names)
 
-    def edge(keys, sketches, nodes):
+    def edge(boundary, keys, sketches, nodes):
         n = len(nodes)
-        columns = [pa.array(nodes), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64())]
+        columns = [pa.array(nodes), pa.array(np.full(n, boundary)), pa.nulls(n, pa.float64())]
         return pa.RecordBatch.from_arrays([*columns, _binaries(keys), _binaries(sketches)], names)
 
     def run(batches):
-        kept = None
+        kept, slice_ = None, TaskContext.get().partitionId()
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -180,14 +196,14 @@ def _neighbours(forest: Forest):
                 np.array(batch.column("node"), np.int64),
             )
             if kept is None:
-                yield edge(*(x[:WINDOW] for x in new))
+                yield edge(slice_ - 1, *(x[:REACH] for x in new))
                 kept = tuple(x[:0] for x in new)
             before = len(kept[2])
             new = tuple(np.concatenate([x, y]) for x, y in zip(kept, new, strict=True))
             yield pairs(*new, before)
-            kept = tuple(x[-WINDOW:] for x in new)
+            kept = tuple(x[-REACH:] for x in new)
         if kept is not None:
-            yield edge(*kept)
+            yield edge(slice_, *kept)
 
     return run
 
@@ -203,10 +219,12 @@ def candidates(classes: DataFrame, forest: Forest) -> DataFrame:
     )
     schema = "a long, b long, estimate double, key binary, sketch binary"
     near = written(entries.mapInArrow(_neighbours(forest), schema), "neighbours")
-    # At most two windows of rows from each partition of the sort.
+    # The last rows of a slice of the sort and the first of the next meet at their boundary.
     edges = (
-        near.where("key is not null").select("key", "sketch", F.col("a").alias("node"))
-        .repartition(1).sortWithinPartitions("key", "node")
+        near.where("key is not null")
+        .select("key", "sketch", F.col("a").alias("node"), F.col("b").alias("boundary"))
+        .repartition("boundary")
+        .sortWithinPartitions("boundary", "key", "node")
         .mapInArrow(_neighbours(forest), schema)
     )
     return (
