@@ -40,6 +40,7 @@ WINDOW = 8  # neighbours on each side that an entry meets in each order
 REACH = 128  # and of those up to here, on each side, the
 FAR_PAIRS = 2  # best by their sketches
 MISSED = 1e-5  # chance that a pair at the threshold shares no base prefix
+PAIRS_AT_ONCE = 256  # whose sets are in a task's memory together
 NO_ID = (1 << 63) - 1  # stands for a null doc_id while the least one is sought
 
 
@@ -238,13 +239,15 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, forest: Forest) -> DataFrame:
 
     @F.arrow_udf("boolean")
     def linked(left: pa.Array, right: pa.Array) -> pa.Array:
-        sides = [
-            [s for c in tx.chunks(side) for s in shingle_sets(c, forest.width)] for side in (left, right)
-        ]
         verdicts = []
-        for x, y in zip(*sides, strict=True):
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            verdicts.append(100 * shared >= forest.percent * (len(x) + len(y) - shared))
+        for first in range(0, len(left), PAIRS_AT_ONCE):
+            sides = [
+                [s for c in tx.chunks(side.slice(first, PAIRS_AT_ONCE)) for s in shingle_sets(c, forest.width)]
+                for side in (left, right)
+            ]
+            for x, y in zip(*sides, strict=True):
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                verdicts.append(100 * shared >= forest.percent * (len(x) + len(y) - shared))
         return pa.array(verdicts, pa.bool_())
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))

@@ -17,7 +17,7 @@ BEGINS_CHAR = (np.arange(256) & 0xC0) != 0x80
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18  # some ten arrays of this many words live at once in a task
 _POWER = np.uint64(0x9E3779B97F4A7C15)
 
 
