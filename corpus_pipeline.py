@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagrid.llm import curriculum, decontaminate, forest, quality_qda, sharding
-from pelagrid.llm.graph import written
+from pelagrid.llm.graph import matched, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -45,10 +45,23 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each time the mix takes a document, in training order; a document that the
-    last pass cuts is kept whole."""
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    placed = curriculum.schedule(docs.select("doc_id", "source", "text", row))
-    return curriculum.training_order(placed).select("_row.*")
+    last pass cuts is kept whole.
+
+    The schedule is made of short rows, known by a hash of all columns (wholly equal rows are
+    one there); whole rows only go through the final sort.
+    """
+    columns = [F.col(c) for c in docs.columns]
+    a, b = F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(7), *columns).alias("b")
+    placed = curriculum.schedule(docs.select("doc_id", "source", "text", a, b))
+    copies = written(placed.select("a", "b", F.inline("copies")), "copies")
+    repeated = written(docs.select(a, b).groupBy("a", "b").count().where("count > 1").drop("count"), "repeated")
+    whole = docs.select(a, b, F.struct(*columns).alias("row"))
+    keys = ["a", "b"]
+    single = matched(whole, copies.join(repeated, keys, "left_anti"), keys)
+    several = matched(
+        matched(whole, repeated, keys).dropDuplicates(keys), copies.join(repeated, keys, "left_semi"), keys
+    )
+    return single.unionByName(several).orderBy("position", "a", "b").select("row.*")
 
 
 def sharding_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
