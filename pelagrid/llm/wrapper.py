@@ -36,6 +36,7 @@ SHARED_BY = 2  # pages with the same text in a slot make it a returning text
 RETURNING = 0.8  # share of a slot's pages with returning text that makes it template
 DEEPEST = 150
 BROADCAST_CHARS = 16_000_000  # of all hosts' skeletons; beyond, pages and skeletons are shuffled
+BROADCAST_SLOTS = 2_000_000  # template slots of all hosts; beyond, blocks and templates are shuffled
 CELLS = 4_000_000  # cells of one alignment table; longer child lists are split in two
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -370,7 +371,9 @@ def extract(pages: DataFrame) -> DataFrame:
         ),
         "blocks",
     )
-    joined = blocks.join(template_slots(blocks), "host", "left")
+    slots = written(template_slots(blocks), "templates")
+    few = (slots.agg(F.sum(F.size("template"))).first()[0] or 0) <= BROADCAST_SLOTS
+    joined = blocks.join(F.broadcast(slots) if few else slots, "host", "left")
     content = F.filter(
         "blocks",
         lambda b: ~b["junk"] & ~F.coalesce(F.array_contains("template", b["slot"]), F.lit(False)),
