@@ -12,7 +12,7 @@ from pelagrid.session import scratch_path
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write once below the shared folder and read back: lineage ends in a file."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
