@@ -3,9 +3,11 @@
 All pages of a host are aligned with one page of that host (of its most common shape)
 by simple tree matching: the largest order-preserving match of two element trees with equal
 tags, found by dynamic programming over the children. The aligned places are the slots
-of the host's wrapper. A slot whose text keeps coming back over the pages is template, a
-slot whose text varies is content; that is counted by Spark over all pages of the host,
-as one aggregation by slot and text, so a host of any size is split over tasks.
+of the host's wrapper. A slot that shows few different texts over the host's different pages is
+template, a slot whose text varies is content; that is counted by Spark over all pages of the
+host, as one aggregation by slot and text, so a host of any size is split over tasks. Pages of a host
+with the same texts in the same order are copies and count once, so copying a page does not turn
+its text into template.
 
 The text of a page is what is neither template nor inside an element that names itself as a
 menu, header, footer, sidebar, notice, advert, form or comment; where the page marks an
@@ -13,7 +15,7 @@ article or main element, it is that element's part. Blocks are runs of text betw
 elements, in page order.
 
 Defined results: null or empty html gives empty text; pages without a usable url form one host;
-a host needs ``LEAST_PAGES`` aligned pages before a slot can be template; unclosed and crossed tags are
+a host needs ``LEAST_PAGES`` different aligned pages before a slot can be template; unclosed and crossed tags are
 closed as browsers do for the common cases; elements nested deeper than ``DEEPEST`` hang on the element at that
 depth. Repeated rows give repeated rows; extra columns are ignored.
 """
@@ -32,8 +34,7 @@ from pyspark.sql import functions as F
 from pelagrid.llm.graph import matched, written
 
 LEAST_PAGES = 5
-SHARED_BY = 2  # pages with the same text in a slot make it a returning text
-RETURNING = 0.8  # share of a slot's pages with returning text that makes it template
+RETURNING = 0.8  # a slot is template if its texts beyond the first are at most the rest of its pages
 DEEPEST = 150
 BROADCAST_CHARS = 16_000_000  # of all hosts' skeletons; beyond, pages and skeletons are shuffled
 BROADCAST_SLOTS = 2_000_000  # template slots of all hosts; beyond, blocks and templates are shuffled
@@ -320,7 +321,7 @@ def references(pages: DataFrame) -> DataFrame:
     """host and the skeleton of one page: of the most common shape, then the least hash.
 
     The shape is the sequence of tags that begin a page's larger parts, so it costs one
-    regular expression and no parsing. Only hashes are grouped; html is not shuffled.
+    regular expression and no parsing. Only hashes are grouped; html is not shuffled. Copies count once.
     """
     parts = F.regexp_extract_all(
         F.lower("html"), F.lit(r"<(/?(?:nav|header|main|article|section|aside|footer|form|ul|ol|table|div))\b"), F.lit(1)
@@ -328,6 +329,7 @@ def references(pages: DataFrame) -> DataFrame:
     some = pages.where("length(html) > 0")
     counted = (
         some.select("host", F.xxhash64(parts).alias("shape"), F.xxhash64("html").alias("page"))
+        .distinct()
         .groupBy("host", "shape")
         .agg(F.count("*").alias("n"), F.min("page").alias("page"))
     )
@@ -344,17 +346,37 @@ def _with_reference(pages: DataFrame) -> DataFrame:
     return pages.join(F.broadcast(found) if size <= BROADCAST_CHARS else found, "host", "left")
 
 
+def different_pages(blocks: DataFrame) -> DataFrame:
+    """host and entries (slot, text hash) of one row of each different page of a host.
+
+    Only hashes are grouped, and only the pages that have copies are joined back.
+    """
+    texts = F.transform("blocks", lambda b: b["text"])
+    keyed = blocks.select(
+        "host",
+        "row",
+        F.xxhash64(texts).alias("page_a"),
+        F.xxhash64(F.lit(7), texts).alias("page_b"),
+        F.transform("blocks", lambda b: F.struct(b["slot"].alias("slot"), F.xxhash64(b["text"]).alias("text"))).alias(
+            "entries"
+        ),
+    )
+    page = ["host", "page_a", "page_b"]
+    copied = written(
+        keyed.groupBy(*page).agg(F.count("*").alias("n"), F.min("row").alias("first")).where("n > 1").drop("n"), "copied"
+    )
+    return matched(keyed, copied, page, "left").where(F.col("first").isNull() | (F.col("row") == F.col("first"))).select("host", "entries")
+
+
 def template_slots(blocks: DataFrame) -> DataFrame:
-    """host and its template slots: those where most pages' text is also on other pages."""
+    """host and its template slots: those with few different texts over the different pages."""
     texts = (
-        blocks.select("host", F.explode("blocks").alias("b")).where("b.slot is not null")
-        .groupBy("host", F.col("b.slot").alias("slot"), F.xxhash64("b.text").alias("text"))
+        different_pages(blocks).select("host", F.explode("entries").alias("e")).where("e.slot is not null")
+        .groupBy("host", F.col("e.slot").alias("slot"), F.col("e.text").alias("text"))
         .agg(F.count("*").alias("n"))
     )
-    slots = texts.groupBy("host", "slot").agg(
-        F.sum("n").alias("pages"), F.sum(F.when(F.col("n") >= SHARED_BY, F.col("n")).otherwise(0)).alias("returning")
-    )
-    constant = (F.col("pages") >= LEAST_PAGES) & (F.col("returning") >= RETURNING * F.col("pages"))
+    slots = texts.groupBy("host", "slot").agg(F.sum("n").alias("pages"), F.count("*").alias("texts"))
+    constant = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") - F.col("texts") + 1 >= RETURNING * F.col("pages"))
     return slots.where(constant).groupBy("host").agg(F.collect_set("slot").alias("template"))
 
 
@@ -368,7 +390,7 @@ def extract(pages: DataFrame) -> DataFrame:
             _block_rows,
             "page_id long, url string, host string, "
             "blocks array<struct<slot: string, junk: boolean, main: boolean, text: string>>",
-        ),
+        ).withColumn("row", F.monotonically_increasing_id()),
         "blocks",
     )
     slots = written(template_slots(blocks), "templates")

@@ -155,6 +155,27 @@ def test_wrapper_drops_constant_slots_and_keeps_varying_ones(frame):
     assert wrapper.extract(frame([], schema)).count() == 0
 
 
+def test_wrapper_counts_copies_of_a_page_once(frame):
+    def rows(host, n, copies):
+        own = [page(SITE.format(title=f"T{i}", one=f"first {i}", two=f"second {i}")) for i in range(n)]
+        return [(i, f"http://{host}/{i}/{k}", h) for i, h in enumerate(own) for k in range(copies(i))]
+
+    data = rows("twice.example", 12, lambda i: 2) + rows("hot.example", 12, lambda i: 400 if i == 5 else 1)
+    data += rows("few.example", 3, lambda i: 4)  # fewer different pages than a wrapper needs
+    # Near copies: the same article under two different titles.
+    data += [
+        (i, f"http://near.example/{i}", page(SITE.format(title=f"T{i}", one=f"first {i // 2}", two=f"second {i // 2}")))
+        for i in range(12)
+    ]
+    found = wrapper.extract(frame(data, "page_id long, url string, html string")).collect()
+    assert len(found) == len(data)
+    for r in found:
+        k, host = r.page_id, r.url.split("/")[2]
+        part = k // 2 if host == "near.example" else k
+        article = f"T{k}\n\nfirst {part}\n\nsecond {part}"
+        assert r.text == (f"Site slogan\n\n{article}\n\nMade by us" if host == "few.example" else article)
+
+
 def test_tree_matching_is_the_largest_order_preserving_match():
     def plain(a, b):
         if a[0] != b[0]:
