@@ -4,10 +4,12 @@ Texts and benchmark items become lower-cased word sequences in which numbers (wi
 unit that follows) and, in a second form, names (capitalised words inside a sentence) are typed
 placeholders. Windows of ``WIDTH`` such words are hashed and joined with those of
 the benchmark. An item counts as found in a text if enough of its different windows are
-there and its slots agree: across all matched windows each value of the item stands for one
-value of the text and the other way round. So exact copies, copies in other letter case and
-re-parameterised questions are found, while a chance likeness of templates with
-clashing values is not.
+there with the item's own values, or with values that agree: each value of the item stands for one
+value of the text and the other way round. Values are compared place by place: windows with slots that
+stand as far from each other as in the item are one occurrence, and from each occurrence
+on those that agree with it are added, nearest first. So exact copies, copies in other letter case and
+re-parameterised questions are found, also beside variants of the same question, while a
+chance likeness of templates with clashing values is not.
 
 The join works on 8-byte hashes. The benchmark's windows are broadcast while
 their counted number is bounded and shuffled beyond; texts are never shuffled. Verdicts are
@@ -58,7 +60,7 @@ def _is_slot(token: Column) -> Column:
 
 
 def _hashes(words: str, form: int) -> Column:
-    """(h, slots) for every window of a token list; slots is null if there is none."""
+    """(h, slots, place) for every window of a token list; without slots, slots and place are null."""
     places = F.sequence(F.lit(0), F.size(words) - WIDTH)
     typed = lambda x: F.when(_is_slot(x), F.substring(x, 1, 1)).otherwise(x)
 
@@ -66,6 +68,7 @@ def _hashes(words: str, form: int) -> Column:
         return F.struct(
             F.xxhash64(F.lit(form), *[F.get(words, i + k) for k in range(WIDTH)]).alias("h"),
             F.lit(None).cast("array<string>").alias("slots"),
+            F.lit(None).cast("long").alias("place"),
         )
 
     def slotted(i):
@@ -74,6 +77,7 @@ def _hashes(words: str, form: int) -> Column:
         return F.struct(
             F.xxhash64(F.lit(form), *[typed(x) for x in own]).alias("h"),
             F.when(F.size(slots) > 0, slots).alias("slots"),
+            F.when(F.size(slots) > 0, i.cast("long")).alias("place"),
         )
 
     whole = F.when(F.exists(words, _is_slot), F.transform(places, slotted)).otherwise(
@@ -85,7 +89,7 @@ def _hashes(words: str, form: int) -> Column:
 
 
 def windows(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """One row (keys, form, h, slots) for every window of column ``text`` in both forms.
+    """One row (keys, h, slots, place) for every window of column ``text`` in both forms.
 
     The form with names is only made where a text has one; elsewhere both are the same.
     """
@@ -97,7 +101,7 @@ def windows(texts: DataFrame, keys: list[str]) -> DataFrame:
     )
     made = listed.select(*keys, _hashes("words", 0).alias("w0"), _hashes("named", 1).alias("w1"))
     both = F.concat(F.coalesce("w0", F.array()), F.coalesce("w1", F.array()))
-    return made.select(*keys, F.explode(both).alias("w")).select(*keys, "w.h", "w.slots")
+    return made.select(*keys, F.explode(both).alias("w")).select(*keys, "w.h", "w.slots", "w.place")
 
 
 def _identity(text: str = "text") -> list[Column]:
@@ -106,46 +110,94 @@ def _identity(text: str = "text") -> list[Column]:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, form, h, slots (of the first such window) and n, the item's different windows."""
+    """item_id, form, h, slots, place and n, the item's different windows.
+
+    Places of different texts with the same item id are far apart.
+    """
     forms = []
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     for form in (0, 1):
-        words = tokens(F.coalesce(F.col("text").cast("string"), F.lit("")), bool(form))
-        listed = benchmark.select("item_id", words.alias("words"))
-        made = listed.select("item_id", F.explode(_hashes("words", form)).alias("w"))
-        forms.append(made.select("item_id", F.lit(form).alias("form"), "w.h", "w.slots"))
-    each = (
-        forms[0].unionByName(forms[1]).where("item_id is not null")
-        .groupBy("item_id", "form", "h").agg(F.min("slots").alias("slots"))
-    )
-    sizes = each.groupBy("item_id", "form").agg(F.count("*").alias("n"))
+        listed = benchmark.select(
+            "item_id", tokens(text, bool(form)).alias("words"), F.shiftleft(F.xxhash64(text).bitwiseAND((1 << 31) - 1), 31).alias("own")
+        )
+        made = listed.select("item_id", "own", F.explode(_hashes("words", form)).alias("w"))
+        forms.append(
+            made.select("item_id", F.lit(form).alias("form"), "w.h", "w.slots", (F.col("own") + F.col("w.place")).alias("place"))
+        )
+    each = forms[0].unionByName(forms[1]).where("item_id is not null").distinct()
+    sizes = each.groupBy("item_id", "form").agg(F.countDistinct("h").alias("n"))
     return written(each.join(sizes, ["item_id", "form"]), "item-windows")
 
 
+def _most_agreeing(groups: str) -> Column:
+    """The most different windows of occurrences (offset, hs, values) that agree with one of them."""
+    clash = lambda s, g: F.exists(
+        g["values"],
+        lambda v: F.exists(s["values"], lambda m: (v["item"] == m["item"]) != (v["own"] == m["own"])),
+    )
+
+    def grown(seed):
+        by_distance = F.array_sort(
+            F.transform(
+                groups,
+                lambda g: F.struct(
+                    F.abs(g["offset"] - seed["offset"]).alias("far"), g["offset"], g["hs"].alias("hs"), g["values"].alias("values")
+                ),
+            )
+        )
+        return F.aggregate(
+            by_distance,
+            F.struct(seed["values"].alias("values"), seed["hs"].alias("hs")),
+            lambda s, g: F.when(clash(s, g), s).otherwise(
+                F.struct(
+                    F.array_union(s["values"], g["values"]).alias("values"), F.array_union(s["hs"], g["hs"]).alias("hs")
+                )
+            ),
+            lambda s: F.size(s["hs"]),
+        )
+
+    return F.coalesce(F.array_max(F.transform(groups, grown)), F.lit(0))
+
+
 def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """text_a, text_b, item_id, coverage, changed: the items found in each different text."""
     items = item_windows(benchmark)
     own = windows(documents.select(*_identity(), "text"), ["text_a", "text_b"])
     shared = matched(own, items.select("h").distinct(), ["h"])
-    # One row for each text and window, whatever the number of copies and repeats.
+    # One row for each text and window without slots, and for each place of one with slots,
+    # whatever the number of copies.
     first = written(
-        shared.groupBy("text_a", "text_b", "h").agg(F.min("slots").alias("own_slots")), "shared-windows"
+        shared.select("text_a", "text_b", "h", F.col("slots").alias("own_slots"), F.col("place").alias("own_place")).distinct(),
+        "shared-windows",
     )
+    same = F.coalesce(F.col("slots") == F.col("own_slots"), F.lit(True))
     pairs = first.join(items, "h").select(
-        "text_a", "text_b", "item_id", "form", "n",
+        "text_a", "text_b", "item_id", "form", "n", "h", same.alias("same"),
+        (F.col("own_place") - F.col("place")).alias("offset"),
         F.arrays_zip(F.col("slots").alias("item"), F.col("own_slots").alias("own")).alias("values"),
     )
-    grouped = pairs.groupBy("text_a", "text_b", "item_id", "form").agg(
+    # Windows without slots have no offset and agree with everything.
+    occurrences = pairs.groupBy("text_a", "text_b", "item_id", "form", "offset").agg(
         F.max("n").alias("n"),
-        F.count("*").alias("shared"),
-        F.count(F.when(F.col("values").isNull(), 1)).alias("literal"),
+        F.collect_set("h").alias("hs"),
+        F.collect_set(F.when(F.col("same"), F.col("h"))).alias("same"),
         F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"),
     )
     different = lambda side: F.size(F.array_distinct(F.transform("values", lambda v: v[side])))
     agrees = (F.size("values") == different("item")) & (F.size("values") == different("own"))
-    enough = lambda c: (F.col(c) >= COVERAGE * F.col("n")) | (F.col(c) >= PASSAGE_WINDOWS)
+    slotted = F.col("offset").isNotNull()
+    grouped = occurrences.groupBy("text_a", "text_b", "item_id", "form").agg(
+        F.max("n").alias("n"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("hs")))).alias("shared"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("same")))).alias("same"),
+        F.coalesce(F.max(F.when(~slotted, F.size("hs"))), F.lit(0)).alias("literal"),
+        F.collect_list(F.when(slotted & agrees, F.struct("offset", "hs", "values"))).alias("groups"),
+    )
+    enough = lambda c: (c >= COVERAGE * F.col("n")) | (c >= PASSAGE_WINDOWS)
     return (
-        grouped.where((agrees & enough("shared")) | enough("literal"))
-        .withColumn("changed", F.exists("values", lambda v: v["item"] != v["own"]))
+        grouped.where(enough(F.col("shared")))
+        .where(enough(F.col("same")) | enough(F.col("literal") + _most_agreeing("groups")))
+        .withColumn("changed", F.col("shared") > F.col("same"))
         .groupBy("text_a", "text_b", "item_id")
         .agg(F.max(F.col("shared") / F.col("n")).alias("coverage"), F.max("changed").alias("changed"))
     )

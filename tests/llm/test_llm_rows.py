@@ -92,6 +92,26 @@ def test_decontamination_finds_templates_with_consistent_slots(marked, frame):
     assert len(found) == 12
 
 
+TANK = "the tank holds {} parts water and {} parts salt when the pump stops"
+
+
+def test_decontamination_tells_occurrences_of_a_template_apart(frame):
+    item, longer = TANK.format(40, 9), ITEM + " before the market closes and the long way home begins for all of them"
+    texts = {
+        1: f"{item} or {TANK.format(50, 10)}",  # the item itself and a variant
+        2: f"{TANK.format(50, 8)} or {TANK.format(60, 10)}",  # two variants
+        3: " then ".join(TANK.format(50 + i, 30 - i) for i in range(20)),
+        4: TANK.format(7, 7),  # two values of the item are one
+        5: longer.replace("in total", "in small total").replace("40", "55") + ". He who pays 70 dollars in total today is lucky.",
+        6: f"{TANK.format(7, 7)} or {TANK.format(8, 8)}",
+    }
+    docs = frame([(k, t, None, None, None, True, None) for k, t in texts.items()] * 2, DOCS)
+    rows = decontaminate.mark(docs, frame([(0, item), (1, longer)], "item_id long, text string")).collect()
+    assert len(rows) == 12
+    found = {r.doc_id: (r.item_ids, r.changed) for r in rows if r.contaminated}
+    assert found == {1: ([0], False), 2: ([0], True), 3: ([0], True), 5: ([1], True)}
+
+
 def test_decontamination_keeps_rows_and_columns(marked, frame):
     kept = decontaminate.clean(marked, frame(ITEMS, "item_id long, text string"))
     assert kept.columns == marked.columns
