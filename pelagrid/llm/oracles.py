@@ -152,9 +152,42 @@ FROM d LEFT JOIN best USING (r) LEFT JOIN g USING (r) LEFT JOIN n USING (r)
 
 OP3 = _licence_sql()
 
+OP12 = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), d AS (
+  SELECT r, doc_id, terms, len(terms)::BIGINT AS n FROM t WHERE len(terms) > 0
+), size AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM d
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), c AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM (SELECT term, count(*)::BIGINT AS df FROM c GROUP BY term), size
+), m AS (
+  SELECT r, doc_id, 100 - 50 + (50 * n * docs) // total AS figure FROM d, size
+), s AS (
+  SELECT item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * figure)))::BIGINT AS score
+  FROM asked JOIN c USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0
+) WHERE rank <= 50
+"""
+
 ORACLES: dict[str, str] = {
     "op1_perspective_rotation": OP1,
     "op3_licence_rules": OP3,
     "op7_curriculum_mix": OP7,
     "op10_line_frequency_rules": OP10,
+    "op12_fp_tree_search": OP12,
 }

@@ -11,13 +11,16 @@ from pelagrid.llm import (
     chat,
     curriculum,
     decontaminate,
+    feast,
     forest,
+    fp_search,
     langid_ppm,
     licences,
     line_rules,
     oracles,
     quality_qda,
     sharding,
+    url_tree,
     wrapper,
 )
 
@@ -74,6 +77,18 @@ def op10_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feast.components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_fp_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_path_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_tree.judge(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_perspective_rotation": op1_perspective_rotation,
     "op2_template_decontamination": op2_template_decontamination,
@@ -85,6 +100,9 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_forest": op8_minhash_forest,
     "op9_wrapper_induction": op9_wrapper_induction,
     "op10_line_frequency_rules": op10_line_frequency_rules,
+    "op11_feast_whitening": op11_feast_whitening,
+    "op12_fp_tree_search": op12_fp_tree_search,
+    "op13_path_template_tree": op13_path_template_tree,
 }
 
 ORACLES: dict[str, str] = oracles.ORACLES
