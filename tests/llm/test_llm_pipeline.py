@@ -24,7 +24,7 @@ def table(spark, name):
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
-    tables = {n: table(spark, n) for n in ("documents", "conversations")}
+    tables = {n: table(spark, n) for n in ("documents", "conversations", "benchmark")}
     same(queries.QUERIES[name](spark, SF), queries.ORACLES[name], digits=6, **tables)
 
 
@@ -32,7 +32,7 @@ def test_every_operator_and_the_pipeline_are_registered():
     import __spark_entry__ as contract
 
     names = contract.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality", "near_duplicates", "decontamination", "mixing", "sharding",
     ]
