@@ -42,6 +42,7 @@ SCALE = 1_000_000_000
 ITEM_TERMS = 500_000  # (item, term) pairs that a task holds at once
 LEAF_ROWS = 64  # rows that are scored together at the foot of a tree
 BLOCK_ENTRIES = 1_000_000  # (document, term) pairs in one tree
+RANGE_TERMS = 8  # terms of a path that place it in a range
 
 # ASCII digits and letters, and every byte of a code point beyond ASCII.
 IS_TERM = np.zeros(256, bool)
@@ -339,7 +340,9 @@ def _rank_block(vectors: DataFrame, vocabulary: np.ndarray, block: tuple, top: i
         paths, "doc_id long, figure long, path array<int>, counts array<int>"
     )
     tied = shaped.withColumn("_tie", F.monotonically_increasing_id())
-    laid = tied.repartitionByRange("path", "_tie").sortWithinPartitions("path", "_tie").drop("_tie")
+    # Ranges by the beginnings of paths: their samples go to the driver.
+    ranges = tied.repartitionByRange(F.slice("path", 1, RANGE_TERMS), "_tie")
+    laid = ranges.sortWithinPartitions("path", "_tie").drop("_tie")
     return laid.mapInArrow(search, "item_id long, doc_id long, score long")
 
 
