@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pelagrid import schemas
 from pelagrid.config import FULL_RASTER, RasterGrid
-from pelagrid.session import replace_folder
+from pelagrid.sources import versions
 
 TILE_DEG = 15.0
 STRIP_ROWS = 200
@@ -46,21 +46,24 @@ def write_tiles(bathymetry: DataFrame, root: str, tile_deg: float = TILE_DEG) ->
 
 
 def read_bathymetry(spark: SparkSession, *paths: str) -> DataFrame:
+    """The loaded table, or folders of tiles as they are."""
+    if len(paths) == 1 and versions.is_versioned(spark, paths[0]):
+        return versions.read(spark, paths[0], schemas.RAW_BATHYMETRY)
     return spark.read.schema(schemas.RAW_BATHYMETRY).parquet(*paths)
 
 
 def load_tiles(tiles: list[DataFrame], path: str) -> None:
-    """Replace the raw table by the union of tiles, written beside it and switched over.
+    """Make the union of tiles the raw table's next version.
 
     Truncating with the first tile and appending the rest would show a partial
     table to readers in between, and a failed tile would leave none.
     """
     union = reduce(lambda a, b: a.unionByName(b), tiles)
-    replace_folder(union.sparkSession, path, lambda beside: union.write.parquet(beside))
+    versions.replace(union.sparkSession, path, lambda folder: union.write.parquet(folder))
 
 
 def write_strips(distances: DataFrame, root: str, grid: RasterGrid, strip_rows: int = STRIP_ROWS) -> None:
-    """Coast distances in latitude strips named by their first raster row.
+    """Coast distances in latitude strips named by their first raster row, as the next version.
 
     Hash partitioning by strip and block of rows: a strip is several tasks and files, and
     range partitioning would run the distance transform twice, once to sample it.
@@ -72,10 +75,13 @@ def write_strips(distances: DataFrame, root: str, grid: RasterGrid, strip_rows:
         .repartition(F.col("strip"), F.floor(row / BLOCK_ROWS))
         .sortWithinPartitions("strip", "latitude", "longitude")
     )
-    replace_folder(
-        distances.sparkSession, root, lambda path: named.write.partitionBy("strip").parquet(path)
+    versions.replace(
+        distances.sparkSession, root, lambda folder: named.write.partitionBy("strip").parquet(folder)
     )
 
 
 def read_strips(spark: SparkSession, root: str) -> DataFrame:
+    """All strips of the version that counts, or a folder of strips as it is."""
+    if versions.is_versioned(spark, root):
+        return versions.read(spark, root, schemas.RAW_COASTLINE)
     return spark.read.schema(schemas.RAW_COASTLINE).parquet(f"{root}/strip=*")

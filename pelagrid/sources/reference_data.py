@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pelagrid import schemas
 from pelagrid.config import AREAS, Area
-from pelagrid.session import replace_folder
+from pelagrid.sources import versions
 
 # The packaged exclusion list.
 SEED = Path(__file__).with_name("manually_excluded_sites.csv")
@@ -50,10 +50,13 @@ def read_areas(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_grid_points(points: DataFrame, path: str) -> None:
-    replace_folder(points.sparkSession, path, lambda beside: points.write.json(beside))
+    versions.replace(points.sparkSession, path, lambda folder: points.write.json(folder))
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """Grid points as the site dimension: (location_name, latitude, longitude)."""
-    points = spark.read.schema(schemas.GRID_POINTS).option("mode", "FAILFAST").json(path)
+    if versions.is_versioned(spark, path):
+        points = versions.read(spark, path, schemas.GRID_POINTS, kind="json", mode="FAILFAST")
+    else:
+        points = spark.read.schema(schemas.GRID_POINTS).option("mode", "FAILFAST").json(path)
     return points.selectExpr("key AS location_name", "lat AS latitude", "lon AS longitude")

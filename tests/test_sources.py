@@ -179,7 +179,7 @@ def test_strips(spark, frame, tmp_path):
     df = frame([(r + 0.5, 1.5, float(r)) for r in range(10)], RAW_COASTLINE)
     root = tmp_path / "strips"
     rasters.write_strips(df, str(root), grid, strip_rows=4)
-    assert sorted(p.name for p in root.glob("strip=*")) == ["strip=00000", "strip=00004", "strip=00008"]
+    assert sorted(p.name for p in root.glob("data/*/strip=*")) == ["strip=00000", "strip=00004", "strip=00008"]
     back = rasters.read_strips(spark, str(root)).select(*RAW_COASTLINE.fieldNames())
     assert sorted(back.collect()) == sorted(df.collect())
 
@@ -281,7 +281,7 @@ def test_late_strips_have_names_of_their_own(spark, frame, tmp_path):
     df = frame([(float(r) + 0.5, 1.5, 1.0) for r in (12_340, 123_400, 123_401, 123_430)], RAW_COASTLINE)
     root = tmp_path / "strips"
     rasters.write_strips(df, str(root), grid, strip_rows=20)
-    assert sorted(p.name for p in root.glob("strip=*")) == ["strip=12340", "strip=123400", "strip=123420"]
+    assert sorted(p.name for p in root.glob("data/*/strip=*")) == ["strip=12340", "strip=123400", "strip=123420"]
 
 
 def test_pixels_without_a_place_meet_none(frame):
@@ -314,4 +314,4 @@ def test_daily_requests_meet_days_of_their_month(spark, frame):
     )
     counted = timeseries.loaded_rows(requests, stored)
     assert sorted(r.row_count for r in counted.collect()) == [0, 1, 2]
-    assert "_month" in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in counted._jdf.queryExecution().optimizedPlan().toString()
