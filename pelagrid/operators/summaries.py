@@ -22,9 +22,10 @@ from pelagrid.functions.numeric import rounded, share, whole_steps
 SITE = "location_name"
 
 
-def _histogram(staged: DataFrame, value: str, extra: Mapping[str, Column]) -> DataFrame:
+def histogram(staged: DataFrame, value: str, extra: Mapping[str, Column], *keys: str) -> DataFrame:
+    """One row per site (and further ``keys``) and distinct hundredth, with its moments."""
     x = F.col(value)
-    return staged.groupBy(SITE, whole_steps(x, 2).alias("_bin")).agg(
+    return staged.groupBy(SITE, *keys, whole_steps(x, 2).alias("_bin")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(x).alias("_sum"),
         F.var_pop(x).alias("_var"),
@@ -77,36 +78,43 @@ def wind_summary(
 ) -> DataFrame:
     """One row per site: mean, spread, peak, power index, percentiles, availability."""
     v = F.col("wind_speed_ms")
-    cube = v * v * v
-    operating = v.between(limits.cut_in_ms, limits.cut_out_ms)
     if percentiles == "approx":
+        operating = v.between(limits.cut_in_ms, limits.cut_out_ms)
         cuts = F.percentile_approx(v, [0.5, 0.9], 10000)
         stats = stg_wind.groupBy(SITE).agg(
             F.avg(v).alias("avg"),
             F.stddev_samp(v).alias("stddev"),
             F.max(v).alias("max"),
-            F.avg(cube).alias("power"),
+            F.avg(v * v * v).alias("power"),
             cuts.alias("cuts"),
             share(F.count_if(operating), F.count(F.lit(1))).alias("available"),
         )
-        p50, p90 = F.get("cuts", F.lit(0)), F.get("cuts", F.lit(1))
-    else:
-        hist = _histogram(
-            stg_wind,
-            "wind_speed_ms",
-            {"_cube": F.sum(cube), "_hits": F.count_if(operating)},
-        )
-        n = F.sum("_n")
-        stats = _with_positions(hist).groupBy(SITE).agg(
-            share(F.sum("_sum"), n).alias("avg"),
-            _stddev().alias("stddev"),
-            F.max("_max").alias("max"),
-            share(F.sum("_cube"), n).alias("power"),
-            _percentile(50).alias("p50"),
-            _percentile(90).alias("p90"),
-            share(F.sum("_hits"), n).alias("available"),
-        )
-        p50, p90 = F.col("p50"), F.col("p90")
+        return _wind_columns(stats, F.get("cuts", F.lit(0)), F.get("cuts", F.lit(1)))
+    return wind_summary_of(histogram(stg_wind, "wind_speed_ms", wind_extra(limits)))
+
+
+def wind_extra(limits: WeatherLimits = DEFAULT.weather) -> dict[str, Column]:
+    """What the wind summary needs of a histogram row besides its moments."""
+    v = F.col("wind_speed_ms")
+    return {"_cube": F.sum(v * v * v), "_hits": F.count_if(v.between(limits.cut_in_ms, limits.cut_out_ms))}
+
+
+def wind_summary_of(hist: DataFrame) -> DataFrame:
+    """The wind summary of histogram rows; a hundredth may have any number of rows."""
+    n = F.sum("_n")
+    stats = _with_positions(hist).groupBy(SITE).agg(
+        share(F.sum("_sum"), n).alias("avg"),
+        _stddev().alias("stddev"),
+        F.max("_max").alias("max"),
+        share(F.sum("_cube"), n).alias("power"),
+        _percentile(50).alias("p50"),
+        _percentile(90).alias("p90"),
+        share(F.sum("_hits"), n).alias("available"),
+    )
+    return _wind_columns(stats, F.col("p50"), F.col("p90"))
+
+
+def _wind_columns(stats: DataFrame, p50: Column, p90: Column) -> DataFrame:
     return _name_sites(
         stats,
         rounded(F.col("avg"), 2).alias("avg_wind_speed_ms"),
@@ -126,8 +134,8 @@ def wave_summary(
 ) -> DataFrame:
     """One row per site: heights, mean period, percentiles, maintenance window."""
     h = F.col("wave_height")
-    calm = h < limits.maintenance_wave_m
     if percentiles == "approx":
+        calm = h < limits.maintenance_wave_m
         stats = stg_wave.groupBy(SITE).agg(
             F.avg(h).alias("avg"),
             F.max(h).alias("max"),
@@ -136,28 +144,35 @@ def wave_summary(
             F.percentile_approx(h, [0.9, 0.95], 10000).alias("cuts"),
             share(F.count_if(calm), F.count(F.lit(1))).alias("calm"),
         )
-        p90, p95 = F.get("cuts", F.lit(0)), F.get("cuts", F.lit(1))
-    else:
-        hist = _histogram(
-            stg_wave,
-            "wave_height",
-            {
-                "_period": F.sum("wave_period"),
-                "_periods": F.count("wave_period"),
-                "_hits": F.count_if(calm),
-            },
-        )
-        n = F.sum("_n")
-        stats = _with_positions(hist).groupBy(SITE).agg(
-            share(F.sum("_sum"), n).alias("avg"),
-            F.max("_max").alias("max"),
-            share(F.sum("_period"), F.sum("_periods")).alias("period"),
-            n.alias("n"),
-            _percentile(90).alias("p90"),
-            _percentile(95).alias("p95"),
-            share(F.sum("_hits"), n).alias("calm"),
-        )
-        p90, p95 = F.col("p90"), F.col("p95")
+        return _wave_columns(stats, F.get("cuts", F.lit(0)), F.get("cuts", F.lit(1)))
+    return wave_summary_of(histogram(stg_wave, "wave_height", wave_extra(limits)))
+
+
+def wave_extra(limits: WeatherLimits = DEFAULT.weather) -> dict[str, Column]:
+    """What the wave summary needs of a histogram row besides its moments."""
+    return {
+        "_period": F.sum("wave_period"),
+        "_periods": F.count("wave_period"),
+        "_hits": F.count_if(F.col("wave_height") < limits.maintenance_wave_m),
+    }
+
+
+def wave_summary_of(hist: DataFrame) -> DataFrame:
+    """The wave summary of histogram rows; a hundredth may have any number of rows."""
+    n = F.sum("_n")
+    stats = _with_positions(hist).groupBy(SITE).agg(
+        share(F.sum("_sum"), n).alias("avg"),
+        F.max("_max").alias("max"),
+        share(F.sum("_period"), F.sum("_periods")).alias("period"),
+        n.alias("n"),
+        _percentile(90).alias("p90"),
+        _percentile(95).alias("p95"),
+        share(F.sum("_hits"), n).alias("calm"),
+    )
+    return _wave_columns(stats, F.col("p90"), F.col("p95"))
+
+
+def _wave_columns(stats: DataFrame, p90: Column, p95: Column) -> DataFrame:
     return _name_sites(
         stats,
         rounded(F.col("avg"), 2).alias("avg_wave_height_m"),

@@ -89,9 +89,9 @@ def raw_wave(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     )
 
 
-def spread_months(hourly: DataFrame, months: int = 18) -> DataFrame:
-    """The wind rows moved over several months, for the partitioned sinks."""
-    moved = F.expr(f"observation_time + make_interval(0, cast(pmod(wind_direction_100m, {months}) as int))")
+def spread_months(hourly: DataFrame, months: int = 18, direction: str = "wind_direction_100m") -> DataFrame:
+    """Hourly rows moved over several months by their direction, for the partitioned sinks."""
+    moved = F.expr(f"observation_time + make_interval(0, cast(pmod({direction}, {months}) as int))")
     return hourly.withColumn("observation_time", moved)
 
 
