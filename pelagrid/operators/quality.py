@@ -2,7 +2,8 @@
 
 The single-column checks return failing rows. ``report`` evaluates everything
 declared for a model at once: one aggregation answers all ``not_null`` and
-``accepted_values`` lines, and only ``unique`` needs a shuffle of its own.
+``accepted_values`` lines, and the values of all ``unique`` columns, of any number of
+models, are counted in one shuffle.
 """
 
 from __future__ import annotations
@@ -177,12 +178,31 @@ def column_report(
     return _finish(df.agg(*aggregates).select(F.inline(F.array(*lines))))
 
 
-def unique_report(df: DataFrame, model: str, expect: Expect) -> list[DataFrame]:
-    """One line per unique column: how many values repeat."""
-    reports = []
-    for column in expect.unique:
-        repeated = duplicates(df, column).agg(F.count(F.lit(1)).alias("repeated"))
-        reports.append(
-            _finish(repeated.select(F.inline(F.array(_line(model, "unique", column, "repeated")))))
+def unique_values(df: DataFrame, model: str, expect: Expect) -> DataFrame:
+    """(model, column_name, value) for every value of a unique column that is not NULL, in one pass."""
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in expect.unique]
+    rows = df.select(F.lit(model).alias("model"), F.inline(F.array(*pairs)))
+    return rows.where(F.col("value").isNotNull())
+
+
+def unique_lines(values: DataFrame, expected: list[tuple[str, str]]) -> DataFrame:
+    """One line per expected (model, column): how many of its values repeat.
+
+    One shuffle for the values of all models, combined in the map tasks; what follows has
+    one row for each column and partition.
+    """
+    counted = values.groupBy("model", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    repeated = counted.groupBy("model", "column_name").agg(F.count_if(F.col("n") > 1).alias("repeated"))
+    lines = values.sparkSession.createDataFrame(expected, "model string, column_name string")
+    return _finish(
+        lines.join(repeated, ["model", "column_name"], "left").select(
+            "model", F.lit("unique").alias("test"), "column_name", F.coalesce("repeated", F.lit(0)).cast("long").alias("failures")
         )
-    return reports
+    )
+
+
+def unique_report(df: DataFrame, model: str, expect: Expect) -> list[DataFrame]:
+    """One line per unique column of one model: how many values repeat."""
+    if not expect.unique:
+        return []
+    return [unique_lines(unique_values(df, model, expect), [(model, c) for c in expect.unique])]

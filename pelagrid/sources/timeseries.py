@@ -173,6 +173,19 @@ def read_months(
     return versions.read(spark, path, declared, held, parts)
 
 
+def save_bucketed(hourly: DataFrame, table: str, buckets: int) -> None:
+    """A catalog table dealt by site and month, ordered by site and time in every bucket.
+
+    What groups by site and month, or by more, reads it without a shuffle. The month is
+    part of the bucket, so a site with a large share of the rows is in many. One file each: the
+    rows are dealt with the hash that the buckets use.
+    """
+    require_utc(hourly.sparkSession)
+    dealt = with_month(hourly).repartition(buckets, KEY[0], MONTH)
+    writer = dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, KEY[0], MONTH)
+    writer.sortBy(*KEY).saveAsTable(table)
+
+
 def truncate_tables(spark: SparkSession, *tables: str) -> list[str]:
     """Empty the named catalog tables that exist; returns those emptied."""
     present = [t for t in tables if spark.catalog.tableExists(t)]

@@ -131,6 +131,14 @@ def _summary_by_month(read: Callable[..., DataFrame], series: incremental.Series
     return query
 
 
+def wind_summary_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wind summary from states that a bucketed table gives without a shuffle of its rows."""
+    rows = demo.spread_months(demo.raw_wind(spark, sf_dir))
+    timeseries.save_bucketed(rows, "raw_wind_bucketed", 8)
+    states = incremental.month_states(spark.table("raw_wind_bucketed"), incremental.WIND)
+    return incremental.summary(states, incremental.WIND)
+
+
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, NULLs and time span of the wind table, counted by the write that loads it."""
     path = scratch_path(spark, "wind")
@@ -287,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "month_partition_roundtrip": month_partition_roundtrip,
     "wind_summary_by_month": _summary_by_month(demo.raw_wind, incremental.WIND),
     "wave_summary_by_month": _summary_by_month(demo.raw_wave, incremental.WAVE),
+    "wind_summary_bucketed": wind_summary_bucketed,
     "load_report": load_report,
     "backfill_gaps": backfill_gaps,
     "smoke_subset": smoke_subset,

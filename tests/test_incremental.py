@@ -132,6 +132,22 @@ def test_missing_hours_equal_a_plain_list(frame):
     assert {r.location_name for r in worklist.missing_requests(requests, stored).collect()} == {"none"}
 
 
+def test_a_bucketed_table_is_summarised_without_a_shuffle_of_its_rows(spark, frame):
+    draw = random.Random(9)
+    rows = [*month(draw, 1), *month(draw, 2, ("c",)), ("a", 43.0, 4.0, None, 36.0, 1.0, 5.0), (None, 43.0, 4.0, None, 36.0, 1.0, 5.0)]
+    source = frame(rows, RAW_WIND)
+    for _ in range(2):  # saved again: replaced
+        timeseries.save_bucketed(source, "bucketed_t", 4)
+    table = spark.table("bucketed_t")
+    assert sorted(map(str, table.select(*source.columns).collect())) == sorted(map(str, source.collect()))
+    states = incremental.month_states(table, incremental.WIND)
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan and plan.count("HashAggregate") >= 2
+    plain = summaries.wind_summary(staging.stg_wind(source)).collect()
+    assert sorted(map(str, incremental.summary(states, incremental.WIND).collect())) == sorted(map(str, plain))
+    spark.sql("DROP TABLE bucketed_t")
+
+
 class Marts:
     """Stands for a pipeline: a mart by its name."""
 

@@ -37,3 +37,24 @@ def test_record_id_duplicates_are_found_by_the_declared_column(frame):
     df = frame([("x", "a", None), ("x", "a", None), ("y", "a", 2)], "record_id string, location_name string, observation_time int")
     (report,) = quality.unique_report(df, "m", Expect(("record_id",)))
     assert report.first().failures == 1
+
+
+def test_unique_columns_of_all_models_share_one_shuffle(spark, frame):
+    one = frame([("a", 1), ("a", 2), ("b", None), (None, 2), (None, 4)], "k string, n int")
+    two = frame([("a",), ("b",)], "k string")
+    parts = [quality.unique_values(one, "one", Expect(("k", "n"))), quality.unique_values(two, "two", Expect(("k",)))]
+    none = quality.unique_values(two.limit(0), "three", Expect(("k",)))
+    declared = [("one", "k"), ("one", "n"), ("two", "k"), ("three", "k")]
+    report = quality.unique_lines(parts[0].unionByName(parts[1]).unionByName(none), declared)
+    got = {(r.model, r.column_name): (r.test, r.failures, r.passed) for r in report.collect()}
+    assert got == {
+        ("one", "k"): ("unique", 1, False),
+        ("one", "n"): ("unique", 1, False),
+        ("two", "k"): ("unique", 0, True),
+        ("three", "k"): ("unique", 0, True),
+    }
+    plan = report._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate") == 3 and plan.count("partial_count(1)") == 1
+    executed = report._jdf.queryExecution().executedPlan().toString()
+    initial = executed.split("== Initial Plan ==")[-1]
+    assert sum("hashpartitioning(model" in line and "value#" in line.split("),")[0] for line in initial.splitlines()) == 1
