@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagrid.config import DEFAULT, RasterGrid
-from pelagrid.operators import gridpoints, raster
+from pelagrid.operators import cells, gridpoints, raster
 from pelagrid.plans import incremental, materialize, quality_report, reports, validation
 from pelagrid.plans.pipeline import Pipeline
-from pelagrid.schemas import EXCLUSIONS, WAVE_VARS, WIND_VARS
+from pelagrid.schemas import EXCLUSIONS, RAW_BATHYMETRY, WAVE_VARS, WIND_VARS
 from pelagrid.session import scratch_path, stage
 from pelagrid.sources import demo, hourly, rasters, reference_data, timeseries, worklist
 
@@ -225,6 +225,14 @@ def tile_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(rasters.read_bathymetry(spark, table))
 
 
+def curve_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depths of the smoke sites' cells from a raster laid out along a curve."""
+    path = scratch_path(spark, "curve")
+    rasters.write_curve(demo.raw_bathymetry(spark, sf_dir), path)
+    sites = [tuple(float(x) for x in name.split("_")[-2:]) for name in demo.DEMO_SMOKE_SITES]
+    return comparable(cells.cell_depths(rasters.read_curve(spark, path, RAW_BATHYMETRY, sites)))
+
+
 def grid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas = reference_data.active_areas(spark, demo.DEMO_AREAS)
     return comparable(gridpoints.grid_points(demo.raw_bathymetry(spark, sf_dir), areas))
@@ -306,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "truncated_table": truncated_table,
     "published_marts": published_marts,
     "tile_union": tile_union,
+    "curve_cells": curve_cells,
     "grid_points": grid_points,
     "site_registry": site_registry,
     "coast_raster": coast_raster,

@@ -9,6 +9,7 @@ from pelagrid.config import FULL_RASTER, REGIONAL_RASTER, RasterGrid
 from pelagrid.operators import cells, raster, sites, staging
 from pelagrid.operators.raster import _nearest_along_rows
 from pelagrid.schemas import RAW_BATHYMETRY, RAW_COASTLINE
+from pelagrid.sources import rasters
 
 
 def test_grid_sizes():
@@ -191,3 +192,40 @@ def test_one_hot_pixel_is_split_between_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def scan_metric(df, name):
+    df.collect()
+    (scan,) = [p for p in iterate(df._jdf.queryExecution().executedPlan().collectLeaves())]
+    return scan.metrics().get(name).get().value()
+
+
+def iterate(seq):
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def test_curve_places_are_z_order(spark):
+    df = spark.sql("SELECT x.id / 4D - 180 + 0.1D AS lat, y.id / 4D - 180 + 0.1D AS lon, x.id AS r, y.id AS c FROM range(1440) x JOIN range(40) y ON pmod(x.id * 7 + y.id, 50) = 0")
+    for r in df.withColumn("p", rasters.curve_place(F.col("lat"), F.col("lon"))).collect():
+        assert r.p == sum((r.r >> k & 1) << (2 * k + 1) | (r.c >> k & 1) << (2 * k) for k in range(11))
+
+
+def test_few_cells_open_few_files_and_read_few_rows(spark, tmp_path):
+    path = str(tmp_path / "curve")
+    pixels = spark.range(256 * 256).selectExpr("40 + (id div 256) / 32D AS latitude", "2 + pmod(id, 256) / 32D AS longitude", "-cast(id AS double) AS elevation_m")
+    odd = spark.createDataFrame([(None, 1.0, -1.0), (-33.9, -70.1, -2.0)], RAW_BATHYMETRY)
+    everything = pixels.unionByName(odd)
+    rasters.write_curve(everything, path, block_bits=4)
+    assert sorted(map(str, rasters.read_curve(spark, path, RAW_BATHYMETRY).collect())) == sorted(map(str, everything.collect()))
+    total = len(list((tmp_path / "curve").rglob("*.parquet")))
+    sites = [(41.3, 3.0), (41.8, 3.9), (46.9, 9.1)]
+    few = rasters.read_curve(spark, path, RAW_BATHYMETRY, sites)
+    assert scan_metric(few, "numFiles") <= total / 8
+    assert scan_metric(few, "numOutputRows") <= 256 * 256 / 16
+    cells = {(la // 0.25, lo // 0.25) for la, lo in sites}
+    want = [r for r in pixels.collect() if (r.latitude // 0.25, r.longitude // 0.25) in cells]
+    assert sorted(few.collect()) == sorted(want) and len(want) == 3 * 64
+    rasters.write_curve(odd, path)
+    assert rasters.read_curve(spark, path, RAW_BATHYMETRY).count() == 2
+    assert rasters.read_curve(spark, path, RAW_BATHYMETRY, [(-33.9, -70.1)]).count() == 1
+    assert rasters.read_curve(spark, path, RAW_BATHYMETRY, []).count() == 0
