@@ -5,15 +5,22 @@ number of copies costs one entry. A class has several signatures of ``DEPTH`` mi
 hashes, one per tree. All signatures of a tree are sorted (range partitioned, so a region
 of any density is split over tasks), and each entry meets its nearest neighbours in that
 order: those with the longest common prefixes, and the most similar of the next ones.
-Where a region is sparse this reaches every entry down to ``BASE`` common hashes; where it
-is dense it ends at longer prefixes, which is the forest's adaptive depth. Neighbours at
-a partition's edge meet in a second pass over the edge rows.
+Beyond its own hashes a tree's order goes on through those of the other trees, so it is as
+deep as a region needs: where it is sparse, an entry meets every other down to ``BASE``
+common hashes, where it is dense, those with longer prefixes. Neighbours at a partition's
+edge meet in a second pass over the edge rows.
 
 A candidate pair is compared by a byte per hash first and, unless that estimate lies
 more than 4.5 standard deviations below the threshold, confirmed on the full shingle sets
 of both texts. Best candidates are confirmed first; pairs that this has already put
 into one component need no confirmation, all others get it.
 
+Entries that had more similar neighbours than they met are in a dense region. A region is
+what candidate pairs hold together, linked or not. Its components that are not its largest are
+compared with all of it on full sets, in tiles of two blocks of ``BLOCK_CLASSES`` classes: shared
+shingles are counted exactly by a product of two small matrices, and a tile gives only the links
+that join components. So in a dense region no link is lost that would change a component.
+
 Defined results: null texts and texts without words have an empty set and are linked with
 nothing; fewer words than a shingle make one shingle of all of them; rows with equal texts are
 copies whatever their ``doc_id``; a null ``doc_id`` never names a component unless
@@ -41,6 +48,9 @@ REACH = 128  # and of those up to here, on each side, the
 FAR_PAIRS = 2  # best by their sketches
 MISSED = 1e-5  # chance that a pair at the threshold shares no base prefix
 PAIRS_AT_ONCE = 256  # whose sets are in a task's memory together
+BLOCK_CLASSES = 512  # classes in one side of a tile, or
+BLOCK_SHINGLES = 500_000  # this many shingles
+TILE_COLUMNS = 4096  # shingles that a tile multiplies at once
 NO_ID = (1 << 63) - 1  # stands for a null doc_id while the least one is sought
 
 
@@ -143,8 +153,9 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _neighbours(forest: Forest):
-    """Sorted entries in; candidate pairs (a, b, estimate) out, and edge rows: with a key, the
-    entry in ``a`` and the number of the slice boundary in ``b``."""
+    """Sorted entries in; candidate pairs (a, b, estimate) out, entries with more similar neighbours
+    than those (``a`` twice), and edge rows: with a key, the entry in ``a`` and the number of
+    the slice boundary in ``b``."""
     base, key_width = 1 + 4 * BASE, 1 + 4 * DEPTH
     names = ["a", "b", "estimate", "key", "sketch"]
     chance = 1 / 256
@@ -159,7 +170,7 @@ def _neighbours(forest: Forest):
 
     def pairs(keys, sketches, nodes, fresh):
         """Pairs whose later entry is at or after ``fresh``."""
-        near, far = [], []
+        near, far, crowded = [], [], [np.zeros(0, np.int64)]
         for back in range(1, min(REACH, len(nodes) - 1) + 1):
             later = np.arange(max(fresh, back), len(nodes))
             later = later[(keys[later, :base] == keys[later - back, :base]).all(1)]
@@ -170,11 +181,18 @@ def _neighbours(forest: Forest):
             kept = score >= forest.least_estimate
             found = np.stack([later[kept], later[kept] - back, score[kept]])
             (near if back <= WINDOW else far).append(found)
+            if back == REACH:
+                crowded += [later, later - back]
         none = np.zeros((3, 0))
         chosen = [np.concatenate([none, *near], axis=1)]
         more = np.concatenate([none, *far], axis=1)
         if more.shape[1]:
-            chosen.append(more[:, np.union1d(best(more[0], more[2]), best(more[1], more[2]))])
+            met = np.zeros(more.shape[1], bool)
+            met[np.union1d(best(more[0], more[2]), best(more[1], more[2]))] = True
+            chosen.append(more[:, met])
+            crowded.append(more[:2, ~met].astype(np.int64).ravel())
+        dense = np.unique(np.concatenate(crowded)).astype(float)
+        chosen.append(np.stack([dense, dense, np.ones(len(dense))]))
         later, earlier, score = np.concatenate(chosen, axis=1)
         x, y = nodes[later.astype(np.int64)], nodes[earlier.astype(np.int64)]
         blank = pa.nulls(len(x), pa.binary())
@@ -209,14 +227,18 @@ def _neighbours(forest: Forest):
     return run
 
 
-def candidates(classes: DataFrame, forest: Forest) -> DataFrame:
-    """``a``, ``b``, ``estimate`` for classes(node, signature, sketch) near in some tree."""
-    key = F.concat(F.unhex(F.lpad(F.hex("tree"), 2, "0")), F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})"))
+def candidates(classes: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
+    """``a``, ``b``, ``estimate`` for classes(node, signature, sketch) near in some tree, and the
+    ``node`` of every class that has more similar neighbours in a tree than these."""
+    own = f"tree * {DEPTH}"
+    key = F.concat(F.unhex(F.lpad(F.hex("tree"), 2, "0")), F.expr(f"substring(signature, 4 * {own} + 1, {4 * DEPTH})"))
+    # The tree's own hashes first: what follows the key in its order, and compares as well as unturned.
+    turned = F.concat(F.expr(f"substring(sketch, {own} + 1)"), F.expr(f"substring(sketch, 1, {own})"))
     entries = (
         classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(forest.trees - 1))))
-        .select(key.alias("key"), "sketch", "node")
-        .repartitionByRange("key", "node")
-        .sortWithinPartitions("key", "node")
+        .select(key.alias("key"), turned.alias("sketch"), "node")
+        .repartitionByRange("key", "sketch", "node")
+        .sortWithinPartitions("key", "sketch", "node")
     )
     schema = "a long, b long, estimate double, key binary, sketch binary"
     near = written(entries.mapInArrow(_neighbours(forest), schema), "neighbours")
@@ -225,13 +247,12 @@ def candidates(classes: DataFrame, forest: Forest) -> DataFrame:
         near.where("key is not null")
         .select("key", "sketch", F.col("a").alias("node"), F.col("b").alias("boundary"))
         .repartition("boundary")
-        .sortWithinPartitions("boundary", "key", "node")
+        .sortWithinPartitions("boundary", "key", "sketch", "node")
         .mapInArrow(_neighbours(forest), schema)
     )
-    return (
-        near.where("key is null").unionByName(edges.where("key is null"))
-        .where("a <> b").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
-    )
+    met = near.where("key is null").unionByName(written(edges.where("key is null"), "edge-neighbours"))
+    pairs = met.where("a <> b").groupBy("a", "b").agg(F.max("estimate").alias("estimate"))
+    return pairs, met.where("a = b").select(F.col("a").alias("node")).distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, forest: Forest) -> DataFrame:
@@ -258,6 +279,127 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, forest: Forest) -> DataFrame:
     )
 
 
+def _sets(texts: DataFrame, forest: Forest) -> DataFrame:
+    """``node`` and its sorted shingles as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk in tx.chunks(batch.column("text")):
+                sets = [s.tobytes() for s in shingle_sets(chunk, forest.width)]
+                nodes = batch.column("node").slice(chunk.first, len(sets))
+                yield pa.RecordBatch.from_arrays([nodes, pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each left set shares with each right one: a product of 0/1 matrices."""
+    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    counts = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, len(common), TILE_COLUMNS):
+        some = common[first : first + TILE_COLUMNS]
+        sides = []
+        for sets in (left, right):
+            side = np.zeros((len(sets), len(some)), np.float32)
+            for row, s in zip(side, sets, strict=True):
+                s = s[np.searchsorted(s, some[0]) : np.searchsorted(s, some[-1], "right")]
+                place = np.searchsorted(some, s)
+                row[place[some[place] == s]] = 1
+            sides.append(side)
+        counts += sides[0] @ sides[1].T  # whole numbers below 2 ** 24
+    return counts.astype(np.int64)
+
+
+def _tile_links(forest: Forest):
+    """Links of one tile that join components: (node, root, side, shingles) rows in, (a, b) out."""
+
+    def run(tile: pa.Table) -> pa.Table:
+        nodes, roots = (tile.column(c).to_numpy() for c in ("node", "root"))
+        sets = [np.frombuffer(s, np.uint64) for s in tile.column("shingles").to_pylist()]
+        left = np.flatnonzero(tile.column("side").to_numpy() == 0)
+        right = np.flatnonzero(tile.column("side").to_numpy() == 1)
+        found = ([], [])
+        if len(left) and len(right):
+            sizes = np.array([len(s) for s in sets])
+            shared = shared_counts([sets[i] for i in left], [sets[i] for i in right])
+            united = sizes[left][:, None] + sizes[right][None, :] - shared
+            parent = {r: r for r in roots.tolist()}
+
+            def top(r):
+                while parent[r] != r:
+                    parent[r] = r = parent[parent[r]]
+                return r
+
+            apart = roots[left][:, None] != roots[right][None, :]
+            for i, j in zip(*np.nonzero((100 * shared >= forest.percent * united) & apart), strict=True):
+                x, y = top(int(roots[left[i]])), top(int(roots[right[j]]))
+                if x != y:
+                    parent[x] = y
+                    found[0].append(int(nodes[left[i]]))
+                    found[1].append(int(nodes[right[j]]))
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    return run
+
+
+def _dense_links(regions: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
+    """Links between components of a region, for regions(region, root, node, n_shingles).
+
+    All but the region's largest component are compared with all of it. Blocks are dealt by
+    hash, so no task numbers a region's rows, and a tile holds two blocks.
+    """
+    per_root = regions.groupBy("region", "root").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")
+    )
+    blocks = lambda n, shingles: F.greatest(
+        F.ceil(n / BLOCK_CLASSES), F.ceil(shingles / BLOCK_SHINGLES), F.lit(1)
+    ).cast("int")
+    largest = F.max(F.struct("n", "root"))
+    shape = per_root.groupBy("region").agg(
+        largest["root"].alias("main"),
+        blocks(F.sum("n"), F.sum("shingles")).alias("rights"),
+        blocks(F.sum("n") - largest["n"], F.sum("shingles") - F.max(F.struct("n", "root", "shingles"))["shingles"]).alias("lefts"),
+    )
+    held = regions.join(shape, "region").join(sets, "node")
+    dealt = F.xxhash64("node")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["region", "i", "j", "side", "node", "root", "shingles"]
+    left = (
+        held.where("root <> main")
+        .withColumns({"i": F.pmod(dealt, "lefts").cast("int"), "j": every("rights"), "side": F.lit(0)})
+        .select(*columns)
+    )
+    right = held.withColumns({"j": F.pmod(dealt, "rights").cast("int"), "i": every("lefts"), "side": F.lit(1)}).select(*columns)
+    return left.unionByName(right).groupBy("region", "i", "j").applyInArrow(_tile_links(forest), "a long, b long")
+
+
+def _finished(
+    names: DataFrame, links: DataFrame, pairs: DataFrame, dense: DataFrame, texts: DataFrame, forest: Forest
+) -> DataFrame:
+    """``node``, ``root`` of all linked classes, with dense regions compared in full."""
+    linked = written(components(links), "linked")
+    dense = written(dense, "dense")
+    if dense.isEmpty():
+        return linked
+    root = lambda side: linked.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+    held = (
+        pairs.join(root("a"), "a", "left")
+        .join(root("b"), "b", "left")
+        .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+        .where("a <> b")
+    )
+    regions = components(held).select(F.col("node").alias("root"), F.col("root").alias("region"))
+    rooted = names.join(linked, "node", "left").select("node", "n_shingles", F.coalesce("root", "node").alias("root"))
+    members = written(rooted.join(regions, "root"), "members")
+    wanted = members.join(dense, "node", "left_semi").select("region").distinct()
+    members = written(members.join(wanted, "region", "left_semi"), "regions")
+    sets = _sets(texts.join(members.select("node"), "node", "left_semi"), forest)
+    more = written(_dense_links(members, written(sets, "sets"), forest), "links")
+    if more.isEmpty():
+        return linked
+    return components(more.unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
 ROW = ["doc_key", "text_id"]  # what tells rows apart
 
 
@@ -292,14 +434,16 @@ def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFram
         some.groupBy("set_a", "set_b")
         .agg(
             F.min(shown).alias("shown"),
+            F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
             F.first("sketch").alias("sketch"),
         )
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    names = classes.select("node", "set_a", "set_b", "shown.doc_key", "shown.text_id")
-    pairs = written(candidates(classes, forest), "pairs")
+    names = classes.select("node", "n_shingles", "set_a", "set_b", "shown.doc_key", "shown.text_id")
+    pairs, dense = candidates(classes, forest)
+    pairs = written(pairs, "pairs")
     nodes = (
         pairs.select(F.col("a").alias("node"))
         .unionByName(pairs.select(F.col("b").alias("node")))
@@ -327,9 +471,8 @@ def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFram
         .join(best, ["a", "b"], "left_anti")
     )
     second = written(_confirmed(open_pairs, chosen, forest), "links")
-    named = names.join(components(first.unionByName(second)), "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
-    )
+    joined = _finished(names, first.unionByName(second), pairs, dense, chosen, forest)
+    named = names.drop("n_shingles").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_key").alias("component_id"))
     labels = named.join(least, "root").select(
         "set_a", "set_b", F.when(F.col("component_id") < NO_ID, F.col("component_id")).alias("component_id")
