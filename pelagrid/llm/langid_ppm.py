@@ -8,9 +8,11 @@ down to equal shares of 256. So every context's probabilities add up to one, and
 length under the frozen counts is exact. The language with the least total wins.
 
 Spark counts 4-byte runs over all texts learned from (combined in each task, then by
-one aggregation). The tree is bounded: at most ``MAX_CELLS`` (context, byte, language)
-cells are kept, by dropping the rarest three-byte contexts of the whole corpus, so the
-model that is built on the driver and broadcast has a fixed limit at any input size.
+one aggregation), and from them, over all runs, the counts of every shorter context. Trees hold
+only what was seen, each language its own. They are bounded: of two- and of three-byte contexts a
+language keeps its heaviest whole ones, up to its equal share of ``MAX_CELLS`` (context, byte)
+cells; a byte after a context that was left out is coded by the next shorter one, whose counts
+are complete. So no language loses its name, its bytes or its share to another.
 
 Defined results: null texts and texts without any letter give ``und`` and score 0; with
 nothing to learn from every text gives ``und``. Ties go to the first language in code point
@@ -21,11 +23,13 @@ and ``doc_id`` that are not held out are learned from. Extra columns are ignored
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pelagrid.llm import text as tx
@@ -33,7 +37,8 @@ from pelagrid.llm.graph import written
 
 HELD_OUT_MODULUS, HELD_OUT_REST = 3, 1
 UNKNOWN = "und"
-MAX_CELLS = 8_000_000  # floats of the model
+MAX_CELLS = 6_000_000  # cells of one order over all languages
+ORDERS = (0, 1, 2, 3)  # bytes of context
 PAD = b"\n\n\n"  # context before the first byte
 _LETTER = regex.compile(r"\p{L}")
 
@@ -91,101 +96,105 @@ def _run_counts(batches):
     yield from rows()
 
 
+class Order(NamedTuple):
+    """One language's contexts of one length: bits of each (context, byte) seen, and the bits that
+    an escape from each context costs; both by sorted keys."""
+
+    cells: np.ndarray
+    bits: np.ndarray
+    contexts: np.ndarray
+    escapes: np.ndarray
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``wanted`` in sorted ``keys``, and which are there."""
+    place = np.searchsorted(keys, wanted)
+    place[place == len(keys)] = 0
+    return place, keys[place] == wanted if len(keys) else np.zeros(len(wanted), bool)
+
+
+def _code_lengths(orders: list[Order], run: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each run after those before it, from the longest order down."""
+    out = np.zeros(len(run))
+    left = np.arange(len(run))
+    for length in reversed(range(len(orders))):
+        order = orders[length]
+        key = (run[left] & np.uint32((1 << 8 * (length + 1)) - 1)).astype(np.uint32)
+        place, seen = _found(order.cells, key)
+        out[left[seen]] += order.bits[place[seen]]
+        left, key = left[~seen], key[~seen]
+        place, known = _found(order.contexts, key >> np.uint32(8))
+        out[left[known]] += order.escapes[place[known]]
+    out[left] += 8.0  # equal shares of 256
+    return out
+
+
+def _order(shorter: list[Order], key: np.ndarray, n: np.ndarray) -> Order:
+    """Method C with exclusion over sorted (context, byte) keys with their counts."""
+    if len(key) == 0:
+        none = np.zeros(0, np.uint32)
+        return Order(none, np.zeros(0), none, np.zeros(0))
+    contexts, first = np.unique(key >> np.uint32(8), return_index=True)
+    total, kinds = np.add.reduceat(n, first), np.diff(np.append(first, len(key)))
+    # What the shorter context gives to the bytes not seen here.
+    left = 1 - np.add.reduceat(np.exp2(-_code_lengths(shorter, key)), first)
+    open_ = (kinds < 256) & (left > 0)
+    escape = np.where(open_, kinds / ((total + kinds) * np.where(open_, left, 1)), 1)
+    share = n / np.repeat(np.where(open_, total + kinds, total), kinds)
+    return Order(key, -np.log2(share), contexts, -np.log2(escape))
+
+
 @dataclass(frozen=True)
 class Model:
-    """Code lengths in bits: ``deep[context, byte, language]`` for the kept three-byte contexts.
-
-    ``number`` gives each three-byte context (of byte classes) its row in ``deep``, or -1: then
-    ``flat[two-byte context, byte, language]`` holds.
-    """
+    """The context trees of every language, shortest order first."""
 
     langs: tuple[str, ...]
-    classes: np.ndarray
-    number: np.ndarray
-    deep: np.ndarray
-    flat: np.ndarray
+    trees: tuple[list[Order], ...]
 
     def bits(self, chunk: tx.Chunk) -> np.ndarray:
         """Code length of each text in each language."""
-        n_langs = len(self.langs)
-        out = np.zeros((len(chunk.bounds) - 1, n_langs))
+        out = np.zeros((len(chunk.bounds) - 1, len(self.langs)))
         if len(chunk.data) == 0:
             return out
-        run = runs(chunk)
-        size = int(self.classes.max()) + 1
-        a, b, c, d = (self.classes[(run >> np.uint32(s)) & np.uint32(255)] for s in (24, 16, 8, 0))
-        row = self.number[(a * size + b) * size + c]
-        known = row >= 0
-        cost = np.empty((len(run), n_langs), np.float32)
-        cost[known] = self.deep[row[known] * size + d[known]]
-        other = ~known
-        cost[other] = self.flat[(b[other] * size + c[other]) * size + d[other]]
+        different, at = np.unique(runs(chunk), return_inverse=True)
         some = np.diff(chunk.bounds) > 0
-        out[some] = np.add.reduceat(cost, chunk.bounds[:-1][some], axis=0, dtype=np.float64)
+        begins = chunk.bounds[:-1][some]
+        for k, orders in enumerate(self.trees):
+            out[some, k] = np.add.reduceat(_code_lengths(orders, different)[at], begins)
         return out
 
 
-def _mixed(counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-    """Probabilities of the next byte from its counts and those of the shorter context.
-
-    Method C with exclusion, along the last axis.
-    """
-    seen = counts > 0
-    kinds, total = seen.sum(-1, keepdims=True), counts.sum(-1, keepdims=True)
-    rest = np.where(seen, 0, shorter)
-    left = rest.sum(-1, keepdims=True)
-    escape = np.where(left > 0, kinds / np.maximum(total + kinds, 1), 0)
-    own = np.where(left > 0, counts / np.maximum(total + kinds, 1), counts / np.maximum(total, 1))
-    mixed = own + escape * rest / np.where(left > 0, left, 1)
-    return np.where(total > 0, mixed, shorter)
+def from_tables(langs: list[str], tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
+    """The model from (language number, key, count) of every order, shortest first."""
+    trees = []
+    for k in range(len(langs)):
+        orders: list[Order] = []
+        for lang, key, n in tables:
+            own = lang == k
+            by_key = np.argsort(key[own], kind="stable")
+            orders.append(_order(orders, key[own][by_key].astype(np.uint32), n[own][by_key].astype(float)))
+        trees.append(orders)
+    return Model(tuple(langs), tuple(trees))
 
 
 def build(langs: list[str], lang: np.ndarray, run: np.ndarray, n: np.ndarray) -> Model:
     """The model from counts of 4-byte runs; ``lang`` holds positions in ``langs``."""
-    n_langs = len(langs)
-    uses = np.bincount(run & 255, weights=n, minlength=256)
-    # Bytes never learned share one class with equal parts, and so do the rarest
-    # where a table over three bytes would take more than half of the cells.
-    most = int((MAX_CELLS / 2 / n_langs) ** (1 / 3)) - 1
-    ranked = np.argsort(-uses, kind="stable")[: max(most, 1)]
-    own_class = np.sort(ranked[uses[ranked] > 0])
-    classes = np.zeros(256, np.int64)
-    classes[own_class] = np.arange(1, len(own_class) + 1)
-    size = len(own_class) + 1
-    a, b, c, d = (classes[(run >> s) & 255] for s in (24, 16, 8, 0))
-    uniform = np.full(size, 1 / 256)
-    uniform[0] = max(256 - (size - 1), 1) / 256
-
-    def table(*axes):
-        shape = (n_langs, *[size] * len(axes))
-        flat = np.ravel_multi_index((lang, *axes), shape)
-        return np.bincount(flat, weights=n, minlength=int(np.prod(shape))).reshape(shape)
-
-    p0 = _mixed(table(d), uniform)
-    p1 = _mixed(table(c, d), p0[:, None, :])
-    p2 = _mixed(table(b, c, d), p1[:, None, :, :])
-    triple = (a * size + b) * size + c
-    weight = np.bincount(triple, weights=n, minlength=size**3)
-    room = max((MAX_CELLS - p2.size) // (size * n_langs), 0)
-    kept = np.flatnonzero(weight)
-    if len(kept) > room:
-        kept = np.sort(kept[np.argsort(-weight[kept], kind="stable")[:room]])
-    number = np.full(size**3, -1, np.int32)
-    number[kept] = np.arange(len(kept))
-    deep = np.zeros((len(kept), size, n_langs), np.float32)
-    share = 1.0 / (uniform[0] * 256)  # one byte's part of the class of unseen bytes
-    for k in range(n_langs):
-        own = (lang == k) & (number[triple] >= 0)
-        flat = number[triple[own]].astype(np.int64) * size + d[own]
-        counts = np.bincount(flat, weights=n[own], minlength=len(kept) * size).reshape(-1, size)
-        p3 = _mixed(counts, p2[k].reshape(size * size, size)[kept % (size * size)])
-        p3[:, 0] *= share
-        deep[:, :, k] = -np.log2(p3)
-    p2[..., 0] *= share
-    shallow = np.moveaxis(-np.log2(p2), 0, -1).astype(np.float32)
-    return Model(
-        tuple(langs), classes, number, deep.reshape(-1, n_langs), shallow.reshape(-1, n_langs)
-    )
+    tables = []
+    for length in ORDERS:
+        key = (lang.astype(np.int64) << 32) | (run & ((1 << 8 * (length + 1)) - 1))
+        different, at = np.unique(key, return_inverse=True)
+        tables.append((different >> 32, different & 0xFFFFFFFF, np.bincount(at, weights=n, minlength=len(different))))
+    return from_tables(langs, tables)
+
+
+def _kept(table: DataFrame, cells: int) -> DataFrame:
+    """Each language's heaviest contexts, whole, as long as their cells fit."""
+    key = ["lang", F.shiftright("key", 8).alias("context")]
+    contexts = table.groupBy(*key).agg(F.sum("n").alias("weight"), F.count("*").alias("kinds"))
+    heaviest = W.partitionBy("lang").orderBy(F.desc("weight"), "context")  # 2 ** 24 contexts at most
+    upto = F.sum("kinds").over(heaviest.rowsBetween(W.unboundedPreceding, 0))
+    kept = contexts.withColumn("upto", upto).where(F.col("upto") <= cells).select("lang", "context")
+    return table.withColumn("context", F.shiftright("key", 8)).join(kept, ["lang", "context"], "left_semi").drop("context")
 
 
 def fit(documents: DataFrame) -> Model | None:
@@ -200,24 +209,20 @@ def fit(documents: DataFrame) -> Model | None:
         .agg(F.sum("n").alias("n")),
         "runs",
     )
-    # Whole contexts are kept by weight until the cells of the model are used up.
-    contexts = counts.groupBy(F.shiftright("run", 8).alias("context")).agg(F.sum("n").alias("weight"))
-    bytes_seen = counts.select((F.col("run").bitwiseAND(255)).alias("byte")).distinct().count()
-    n_langs = counts.select("lang").distinct().count()
-    if n_langs == 0:
+    names = sorted((r.lang for r in counts.select("lang").distinct().collect()), key=lambda x: x.encode())
+    if not names:
         return None
-    room = max(MAX_CELLS // (n_langs * (bytes_seen + 1)), 1)
-    kept = contexts.orderBy(F.desc("weight"), "context").limit(room)
-    found = (
-        counts.withColumn("context", F.shiftright("run", 8)).join(kept, "context")
-        .select("lang", "run", "n").toArrow()
-    )
-    names = sorted(set(found.column("lang").to_pylist()), key=lambda x: x.encode())
-    place = {x: k for k, x in enumerate(names)}
-    lang = np.array([place[x] for x in found.column("lang").to_pylist()], np.int64)
-    run, n = (found.column(c).to_numpy() for c in ("run", "n"))
-    order = np.lexsort((run, lang))
-    return build(names, lang[order], run[order], n[order].astype(np.float64))
+    # Languages travel by number, so what the driver holds is numbers only.
+    numbers = documents.sparkSession.createDataFrame(list(enumerate(names)), "lang int, name string")
+    numbered = counts.join(F.broadcast(numbers), F.col("name") == counts["lang"]).select(numbers["lang"], "run", "n")
+    cells = max(MAX_CELLS // len(names), 256)
+    tables = []
+    for length in ORDERS:
+        key = F.col("run").bitwiseAND((1 << 8 * (length + 1)) - 1).alias("key")
+        table = numbered.groupBy("lang", key).agg(F.sum("n").alias("n"))
+        found = (_kept(written(table, "order"), cells) if length > 1 else table).toArrow()
+        tables.append(tuple(found.column(c).to_numpy() for c in ("lang", "key", "n")))
+    return from_tables(names, tables)
 
 
 def with_language(documents: DataFrame, model: Model | None) -> DataFrame:

@@ -11,7 +11,9 @@ its text into template.
 
 The text of a page is what is neither template nor inside an element that names itself as a
 menu, header, footer, sidebar, notice, advert, form or comment; where the page marks an
-article or main element, it is that element's part. Blocks are runs of text between block
+article or main element, it is that element's part. Layout names around an article do not
+reach into it, and a name counts only if it is the element's own (not ``no-sidebar`` or
+``entry-header``). Scripts and the like end at their literal end tag. Blocks are runs of text between block
 elements, in page order.
 
 Defined results: null or empty html gives empty text; pages without a usable url form one host;
@@ -41,10 +43,13 @@ BROADCAST_SLOTS = 2_000_000  # template slots of all hosts; beyond, blocks and t
 CELLS = 4_000_000  # cells of one alignment table; longer child lists are split in two
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript textarea template title iframe svg math select option".split())
+# Elements whose content is skipped to their literal end tag, whatever it looks like.
+RAW = frozenset("script style noscript textarea template title iframe svg select annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    "math semantics mi mn mo ms mtext mspace mrow mfrac msup msub msubsup msqrt mroot mover munder munderover "
+    "mstyle mpadded mphantom menclose mtable mtr mtd".split()
 )
 # A start tag of the key closes an open element of the set.
 _P_ENDERS = (
@@ -63,20 +68,48 @@ CLOSES = {tag: frozenset({"p"}) for tag in _P_ENDERS} | {
 # What an implied end tag does not reach across.
 SCOPES = frozenset("html body table ul ol dl div article section aside nav main header footer form blockquote".split())
 
-JUNK_TAGS = frozenset("head nav footer aside form button dialog menu object audio video canvas".split()) | RAW
-JUNK_NAMES = regex.compile(
-    r"(?:^|[\s_-])(?:ads?|adv|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alerts?|"
-    r"sidebars?|side|menus?|nav\w*|breadcrumbs?|header|masthead|footer|comments?|replies|disqus|respond|social|shar(?:e|ing)|"
-    r"related|recommend\w*|newsletter|subscri\w*|signup|login|popup|modal|overlay|widgets?|pagination|pager|toolbar|skip)(?:[\s_-]|$)",
-    regex.I,
+JUNK_TAGS = frozenset("head nav footer aside form button dialog menu object audio video canvas option".split()) | RAW
+# Names of elements, an addition to the method: whole class or id tokens, or the last part of a hyphenated
+# one. SURE names also count as its first part ("cookie-box"), and inside an article.
+SURE_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement adsense sponsor sponsored sponsors promo cookie cookies consent gdpr "
+    "comment comments reply replies disqus respond related recommended recommendations newsletter subscribe "
+    "subscription signup login popup modal breadcrumb breadcrumbs social share sharing pagination pager".split()
 )
+LAYOUT_NAMES = SURE_NAMES | frozenset(
+    "banner banners notice notices alert alerts sidebar sidebars side menu menus nav navbar navigation header masthead "
+    "footer overlay widget widgets toolbar skip".split()
+)
+# First parts after which a name is not the element's own ("no-sidebar"), or is a title's ("entry-header").
+NEGATIONS = frozenset("no not has have with without hide hidden".split())
+CONTENT_PARTS = frozenset("entry post article story content main page single".split())
+COMMENT_NAMES = frozenset("comment comments reply replies".split())
 JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 MAIN_TAGS, MAIN_ROLES = frozenset({"article", "main"}), frozenset({"main", "article"})
 
+# Inside a tag a quote delimits a value only right after an equals sign.
 _PIECE = regex.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", regex.S
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([A-Za-z][^\s/>]*)((?>=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*)?|[^>=])*+)(?:>|\Z)",
+    regex.S,
 )
-_ATTRIBUTE = regex.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+)))?")
+_ATTRIBUTE = regex.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'][^\s]*)))?")
+_RAW_END = {tag: regex.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", regex.I) for tag in RAW}
+SURE, LIKELY = 2, 1  # junk by a tag, a role or a sure name; by a layout name, which an article inside ends
+
+
+def named_junk(names: str) -> int:
+    """What the class and id tokens of an element say about it."""
+    found = 0
+    for token in names.lower().split():
+        parts = [x for x in regex.split(r"[-_]+", token) if x]
+        if not parts or (len(parts) > 1 and parts[0] in NEGATIONS):
+            continue
+        if parts[0] in SURE_NAMES or parts[-1] in SURE_NAMES:
+            return SURE
+        if parts[-1] in LAYOUT_NAMES and not (parts[-1] == "header" and parts[0] in CONTENT_PARTS):
+            found = LIKELY
+    return found
 
 
 class Node:
@@ -84,7 +117,7 @@ class Node:
 
     __slots__ = ("tag", "children", "junk", "main", "number", "shape")
 
-    def __init__(self, tag: str, junk: bool, main: bool, number: int):
+    def __init__(self, tag: str, junk: int, main: bool, number: int):
         self.tag, self.children, self.junk, self.main = tag, [], junk, main
         self.number, self.shape = number, -1
 
@@ -94,7 +127,7 @@ Block = tuple[Node, int, str]
 
 def parse(page: str) -> tuple[Node, list[Block]]:
     """The element tree and its text blocks (element, run within it, text) in page order."""
-    root = Node("#", False, False, 0)
+    root = Node("#", 0, False, 0)
     stack, nodes = [root], 1
     pieces: list[tuple[Node, str]] = []
     runs: dict[int, int] = {}
@@ -114,13 +147,11 @@ def parse(page: str) -> tuple[Node, list[Block]]:
         """The innermost open element that is not inline."""
         return next(x for x in reversed(stack) if x.tag not in INLINE)
 
-    at, skip = 0, None
-    for m in _PIECE.finditer(page):
-        if skip is not None and not (m[1] and m[2] and m[2].lower() == skip):
-            continue
-        if skip is None and m.start() > at:
+    at = 0
+    while (m := _PIECE.search(page, at)) is not None:
+        if m.start() > at:
             pieces.append((holder(), html.unescape(page[at : m.start()])))
-        at, skip = m.end(), None
+        at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             continue
@@ -140,25 +171,31 @@ def parse(page: str) -> tuple[Node, list[Block]]:
             if stack[k].tag in SCOPES:
                 break
         above = stack[-1]
-        junk, main = above.junk or tag in JUNK_TAGS, above.main or tag in MAIN_TAGS
-        if tag == "header":
-            junk = junk or not main
-        if m[3] and not junk and tag not in ("html", "body"):
+        main = above.main or tag in MAIN_TAGS
+        sure = tag in JUNK_TAGS or (tag == "header" and not main)
+        junk = SURE if sure else above.junk
+        if m[3] and junk < SURE and tag not in ("html", "body"):
             found = {a[1].lower(): a[2] or a[3] or a[4] or "" for a in _ATTRIBUTE.finditer(m[3])}
             role = found.get("role", "").lower()
-            main = main or role in MAIN_ROLES
             names = f"{found.get('class', '')} {found.get('id', '')}"
-            junk = role in JUNK_ROLES or "hidden" in found or (
-                tag not in MAIN_TAGS and JUNK_NAMES.search(names) is not None
-            )
+            main = main or role in MAIN_ROLES
+            if role in JUNK_ROLES or "hidden" in found:
+                junk = SURE
+            elif tag in MAIN_TAGS or role in MAIN_ROLES:
+                junk = SURE if COMMENT_NAMES & set(regex.split(r"[\s_-]+", names.lower())) else 0
+            else:
+                junk = max(junk, named_junk(names))
+        elif tag in MAIN_TAGS and junk < SURE:
+            junk = 0
         node = Node(tag, junk, main, nodes)
         nodes += 1
         above.children.append(node)
         if tag in RAW:
-            skip = tag
+            end = _RAW_END[tag].search(page, at)
+            at = end.end() if end else len(page)
         elif tag not in VOID and not m[3].endswith("/") and len(stack) < DEEPEST:
             stack.append(node)
-    if skip is None and at < len(page) and not page[at:].startswith("<"):
+    if at < len(page) and not page[at:].startswith("<"):
         pieces.append((holder(), html.unescape(page[at:])))
     flush()
     return root, blocks
@@ -168,6 +205,7 @@ def parse(page: str) -> tuple[Node, list[Block]]:
 _shapes: dict[tuple, int] = {}
 _parts: list[tuple[str, tuple[int, ...]]] = []
 _matched: dict[tuple[int, int], int] = {}
+_placed: dict[tuple[int, int], dict[int, int]] = {}
 
 
 def _shape(root: Node) -> None:
@@ -187,8 +225,8 @@ def _shape(root: Node) -> None:
 
 def _forget() -> None:
     """Keep the tables of shapes from growing without end over many pages."""
-    if len(_parts) > 200_000 or len(_matched) > 1_000_000:
-        _shapes.clear(), _parts.clear(), _matched.clear(), _reference.cache_clear()
+    if len(_parts) > 200_000 or len(_matched) > 1_000_000 or len(_placed) > 2_000:
+        _shapes.clear(), _parts.clear(), _matched.clear(), _placed.clear(), _reference.cache_clear()
 
 
 def match(a: int, b: int) -> int:
@@ -283,9 +321,12 @@ def blocks_of(page: str | None, reference: str | None) -> list[tuple[str | None,
     if reference:
         _forget()
         _shape(root)
-        places = align(_reference(reference), root)
+        # Elements are numbered in page order, so pages of one shape have the same places.
+        other = _reference(reference)
+        pair = (other.shape, root.shape)
+        places = _placed[pair] if pair in _placed else _placed.setdefault(pair, align(other, root))
     return [
-        (f"{places[e.number]}:{k}" if e.number in places else None, e.junk, e.main, text)
+        (f"{places[e.number]}:{k}" if e.number in places else None, e.junk > 0, e.main, text)
         for e, k, text in blocks
     ]
 

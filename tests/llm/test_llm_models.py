@@ -69,11 +69,11 @@ def small_model(texts):
 def test_code_lengths_are_exact_and_probabilities_add_up_to_one():
     texts = {"aa": ["abab abba", "ab"], "bb": ["bcbc cbb\n", "é"]}
     model = small_model(texts)
-    size = int(model.classes.max()) + 1
-    members = np.bincount(model.classes, minlength=size)
-    for table in (model.deep, model.flat):
-        each = np.exp2(-table.astype(float)).reshape(-1, size, 2)
-        assert (each * members[None, :, None]).sum(1) == pytest.approx(1, abs=1e-4)
+    contexts = np.unique(np.concatenate([o.contexts for tree in model.trees for o in tree])).astype(np.uint32)
+    following = (contexts[:, None] << np.uint32(8)) | np.arange(256, dtype=np.uint32)
+    for tree in model.trees:
+        chances = np.exp2(-langid_ppm._code_lengths(tree, following.ravel())).reshape(-1, 256)
+        assert chances.sum(1) == pytest.approx(1, abs=1e-9)
 
     def plain(lang, text):
         """Bits by the definition, one byte at a time."""
@@ -115,6 +115,20 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
 
 
+@pytest.mark.parametrize("cells", [langid_ppm.MAX_CELLS, 12_000])
+def test_no_language_is_lost_among_many(frame, monkeypatch, cells):
+    """Languages with alphabets of their own, most of them rare, also where contexts must be left out."""
+    monkeypatch.setattr(langid_ppm, "MAX_CELLS", cells)
+    draw, rows, n = np.random.default_rng(4), [], 0
+    for k in range(60):
+        letters = [chr(0x4E00 + 40 * k + i) for i in range(30)]
+        for _ in range(120 if k < 4 else 12):
+            words = ["".join(draw.choice(letters, draw.integers(2, 7))) for _ in range(draw.integers(5, 40))]
+            rows.append((n := n + 1, " ".join(words), f"l{k:02d}", "s", 0.0, "x"))
+    out = {r.doc_id: r for r in langid_ppm.identify(frame(rows, DOCS)).collect()}
+    assert all(out[d].lang_pred == lang for d, _, lang, *_ in rows)
+
+
 def test_language_of_odd_rows(frame):
     rows = [(2, "der die das und", "de", "s", 0.0, "x"), (3, "the of and to", "en", "s", 0.0, "x"), (None, "the of", "zz", "s", 0.0, "x")]
     rows += [(5, None, None, None, None, None), (6, "", "en", "s", 0.0, "x"), (7, "12 !?", "en", "s", 0.0, "x"), (8, "the " * 50_000, None, "s", 0.0, "x")]
@@ -126,6 +140,33 @@ def test_language_of_odd_rows(frame):
     assert {r.lang_pred for r in langid_ppm.identify(docs.where("doc_id = 5")).collect()} == {"und"}
 
 
+@pytest.mark.parametrize(
+    "body, wanted",
+    [
+        ("<p>one</p><script>for(i=0;i<n;i++){f()}</script><p>two</p><p>three</p>", "one two three"),
+        ("<p>one</p><script>var s = '<!--';</script><p>two</p>", "one two"),
+        ("<p>one</p><SCRIPT>if (a<b) x='</p>'</SCRIPT ><p>two</p>", "one two"),
+        ("<p>one</p><style>a>b{}</style><svg><title>x</title><path d='<'></svg><p>two</p>", "one two"),
+        ("<p>one</p><script>never closed <p>two</p>", "one"),
+        ("<p class=it's>one</p><p title=\"a>b\" class='c>d'>two</p><p id=x\"y>three</p>", "one two three"),
+        ("<p a=\"b>one</p><p>two</p>", "one two"),
+        ("<div class='layout no-sidebar has-sidebar'><article><p>one</p></article></div>", "one"),
+        ("<div class='sidebar'><article><p>one</p></article></div>", "one"),
+        ("<article><div class='entry-header post-header'><h1>title</h1></div><p>one</p></article>", "title one"),
+        ("<article><p>so <math><mi>x</mi><mo>&lt;</mo><mn>2</mn></math> holds</p></article>", "so x<2 holds"),
+        ("<div class='main-nav'>a</div><div id='site_footer'>b</div><p>one</p><div class='cookie-box'>c</div>", "one"),
+        ("<article><p>one</p><div class='comments-area'>c</div><div class='ad-slot'>d</div></article>", "one"),
+        ("<article><p>one</p></article><article class='comment-body'><p>c</p></article>", "one"),
+        ("<aside><article><p>teaser</p></article></aside><p>one</p>", "one"),
+        ("<p>1 < 2 and 3 > 2</p><select><option>a<option>b</select><p>two", "1 < 2 and 3 > 2 two"),
+    ],
+)
+def test_raw_elements_quotes_and_names(frame, body, wanted):
+    rows = [(1, "http://one.example/", page(body))]
+    (out,) = wrapper.extract(frame(rows, "page_id long, url string, html string")).collect()
+    assert out.text.replace("\n\n", " ") == wanted
+
+
 def page(body, head="<title>t</title>"):
     return f"<!DOCTYPE html><html><head>{head}</head><body>{body}</body></html>"
 
