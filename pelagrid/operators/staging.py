@@ -16,6 +16,7 @@ from pelagrid.config import DEFAULT, SMOKE_SITES, SMOKE_YEAR, Gates
 from pelagrid.functions.classify import pixel_distance_category
 from pelagrid.functions.grid import cell_key, snap, surrogate_key, time_text
 from pelagrid.functions.numeric import to_ms, whole_steps
+from pelagrid.session import require_utc
 
 # No coordinate is larger, in any convention of longitude.
 MAX_DEGREES = 720.0
@@ -41,6 +42,8 @@ def smoke_subset(
 
 
 def _hourly(raw: DataFrame, required: Column, *measures: Column) -> DataFrame:
+    # Record keys, years and months are texts and parts of UTC times.
+    require_utc(raw.sparkSession)
     lat, lon = F.col("latitude"), F.col("longitude")
     name, time = F.col("location_name"), F.col("observation_time")
     return raw.where(required.isNotNull()).select(

@@ -20,6 +20,7 @@ from pelagrid.functions.grid import surrogate_key
 from pelagrid.functions.numeric import rounded, share, whole_steps
 
 SITE = "location_name"
+ACCURACY = 10_000  # an approximate percentile's rank is off by one part in this many at most
 
 
 def histogram(staged: DataFrame, value: str, extra: Mapping[str, Column], *keys: str) -> DataFrame:
@@ -80,7 +81,7 @@ def wind_summary(
     v = F.col("wind_speed_ms")
     if percentiles == "approx":
         operating = v.between(limits.cut_in_ms, limits.cut_out_ms)
-        cuts = F.percentile_approx(v, [0.5, 0.9], 10000)
+        cuts = F.percentile_approx(v, [0.5, 0.9], ACCURACY)
         stats = stg_wind.groupBy(SITE).agg(
             F.avg(v).alias("avg"),
             F.stddev_samp(v).alias("stddev"),
@@ -141,7 +142,7 @@ def wave_summary(
             F.max(h).alias("max"),
             F.avg("wave_period").alias("period"),
             F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(h, [0.9, 0.95], 10000).alias("cuts"),
+            F.percentile_approx(h, [0.9, 0.95], ACCURACY).alias("cuts"),
             share(F.count_if(calm), F.count(F.lit(1))).alias("calm"),
         )
         return _wave_columns(stats, F.get("cuts", F.lit(0)), F.get("cuts", F.lit(1)))

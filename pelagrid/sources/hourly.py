@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,24 +59,23 @@ def explode_hourly(responses: DataFrame, variables: tuple[str, ...]) -> DataFram
     )
 
 
-def write_landing(hourly: DataFrame, root: str, period: str | None = None) -> None:
+def write_landing(hourly: DataFrame, root: str, first_day: dt.date, last_day: dt.date) -> None:
     """Line-delimited JSON in ``location_name=<site>/period=<first day>_<last day>``.
 
-    Landing a site's period again replaces it and nothing else. Without ``period`` each
-    site's folder is named by the first and last day of its rows in this batch.
+    The period is that of the request, whatever days its answer holds. Landing a period of a
+    site again replaces what that request brought and nothing else, so a shorter answer
+    leaves no rows of the longer one behind; a site without rows in the answer keeps its files.
 
     Range partitioning on (site, time) lets several tasks share a large site and
     keeps each task inside few sites, so folders do not fill with small files.
     """
     require_utc(hourly.sparkSession)
+    if first_day > last_day:
+        raise ValueError(f"no days from {first_day} to {last_day}")
     text = F.date_format("observation_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     with read_once(hourly.withColumn("observation_time", text)) as rows:
-        day = F.coalesce(F.substring("observation_time", 1, 10), F.lit("none"))
-        named = F.concat_ws("_", F.min(day), F.max(day)) if period is None else F.max(F.lit(period))
-        periods = rows.groupBy(F.col("location_name").alias("_site")).agg(named.alias("period"))
         (
-            rows.join(periods, F.col("location_name").eqNullSafe(F.col("_site")))
-            .drop("_site")
+            rows.withColumn("period", F.lit(f"{first_day}_{last_day}"))
             .repartitionByRange("location_name", "observation_time")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

@@ -11,6 +11,7 @@ from pelagrid.sources import hourly, rasters, reference_data, timeseries, workli
 from pelagrid.streaming.landing import load_new_files
 
 SITE = "GULF_OF_LION_43.0_4.0"
+PERIOD = (dt.date(2023, 1, 1), dt.date(2023, 1, 31))
 
 
 def response(**changes):
@@ -67,7 +68,7 @@ def waves(frame, *rows):
 def test_landing_files_round_trip(spark, frame, tmp_path):
     root = str(tmp_path / "landing")
     df = waves(frame, ("a", "2023-01-01T00:00:00", 1.5), ("b b", "2023-01-31T23:00:00.250000", None))
-    hourly.write_landing(df, root)
+    hourly.write_landing(df, root, *PERIOD)
     assert sorted(p.name for p in (tmp_path / "landing").glob("location_name=*")) == [
         "location_name=a",
         "location_name=b b",
@@ -122,9 +123,9 @@ def test_year_filter_prunes_months(spark, frame, tmp_path):
 def test_incremental_load_reads_each_file_once(spark, frame, tmp_path):
     root, table, marks = (str(tmp_path / n) for n in ("landing", "table", "marks"))
     load = lambda: load_new_files(spark, root, table, WAVE_VARS, marks)
-    hourly.write_landing(waves(frame, ("a", "2023-01-01T00:00:00", 1.0)), root)
+    hourly.write_landing(waves(frame, ("a", "2023-01-01T00:00:00", 1.0)), root, *PERIOD)
     load()
-    hourly.write_landing(waves(frame, ("a", "2023-01-01T00:00:00", 7.0), ("b", "2023-01-02T00:00:00", 2.0)), root)
+    hourly.write_landing(waves(frame, ("a", "2023-01-01T00:00:00", 7.0), ("b", "2023-01-02T00:00:00", 2.0)), root, *PERIOD)
     load()
     load()
     got = timeseries.read_hourly(spark, table, WAVE_VARS).collect()
@@ -256,13 +257,27 @@ def test_merge_keeps_rows_without_a_key_and_is_deterministic(spark, frame, tmp_p
 
 
 def test_landing_again_replaces_the_period_only(spark, frame, tmp_path):
-    root = str(tmp_path / "landing")
-    one = waves(frame, ("a", "2023-01-01T00:00:00", 1.0), ("b", "2023-01-01T00:00:00", 2.0))
-    hourly.write_landing(one, root)
-    hourly.write_landing(one, root)
-    hourly.write_landing(waves(frame, ("a", "2023-02-01T00:00:00", 3.0)), root)
-    got = hourly.read_landing(spark, root, WAVE_VARS).collect()
-    assert sorted((r.location_name, r.wave_height) for r in got) == [("a", 1.0), ("a", 3.0), ("b", 2.0)]
+    root, february = str(tmp_path / "landing"), (dt.date(2023, 2, 1), dt.date(2023, 2, 28))
+    one = waves(frame, ("a", "2023-01-01T00:00:00", 1.0), ("a", "2023-01-02T00:00:00", 5.0), ("b", "2023-01-01T00:00:00", 2.0))
+    hourly.write_landing(one, root, *PERIOD)
+    hourly.write_landing(waves(frame, ("a", "2023-02-01T00:00:00", 3.0)), root, *february)
+    heights = lambda: sorted((r.location_name, r.wave_height) for r in hourly.read_landing(spark, root, WAVE_VARS).collect())
+    assert heights() == [("a", 1.0), ("a", 3.0), ("a", 5.0), ("b", 2.0)]
+    # A shorter answer to the same request replaces the longer one.
+    hourly.write_landing(waves(frame, ("a", "2023-01-02T00:00:00", 6.0)), root, *PERIOD)
+    assert heights() == [("a", 3.0), ("a", 6.0), ("b", 2.0)]
+    with pytest.raises(ValueError, match="no days"):
+        hourly.write_landing(one, root, *PERIOD[::-1])
+
+
+def test_keys_are_made_in_utc_only(spark, frame):
+    rows = waves(frame, ("a", "2023-01-01T00:00:00", 1.0))
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            staging.stg_wave(rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_a_failed_load_leaves_the_old_table(spark, frame, tmp_path):
