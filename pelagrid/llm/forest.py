@@ -374,16 +374,19 @@ def _dense_links(regions: DataFrame, sets: DataFrame, forest: Forest) -> DataFra
 
 
 def _finished(
-    names: DataFrame, links: DataFrame, pairs: DataFrame, dense: DataFrame, texts: DataFrame, forest: Forest
+    names: DataFrame, links: DataFrame, unlinked: DataFrame, dense: DataFrame, texts: DataFrame, forest: Forest
 ) -> DataFrame:
-    """``node``, ``root`` of all linked classes, with dense regions compared in full."""
+    """``node``, ``root`` of all linked classes, with dense regions compared in full.
+
+    ``unlinked`` holds the candidate pairs that were in two components before the last links.
+    """
     linked = written(components(links), "linked")
     dense = written(dense, "dense")
     if dense.isEmpty():
         return linked
     root = lambda side: linked.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     held = (
-        pairs.join(root("a"), "a", "left")
+        unlinked.join(root("a"), "a", "left")
         .join(root("b"), "b", "left")
         .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
         .where("a <> b")
@@ -463,15 +466,15 @@ def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFram
     first = written(_confirmed(best, chosen, forest), "links")
     joined = components(first)
     root = lambda side: joined.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-    open_pairs = (
+    unlinked = written(
         pairs.join(root("a"), "a", "left")
         .join(root("b"), "b", "left")
         .where("coalesce(root_a, a) <> coalesce(root_b, b)")
-        .select("a", "b")
-        .join(best, ["a", "b"], "left_anti")
+        .select("a", "b"),
+        "unlinked",
     )
-    second = written(_confirmed(open_pairs, chosen, forest), "links")
-    joined = _finished(names, first.unionByName(second), pairs, dense, chosen, forest)
+    second = written(_confirmed(unlinked.join(best, ["a", "b"], "left_anti"), chosen, forest), "links")
+    joined = _finished(names, first.unionByName(second), unlinked, dense, chosen, forest)
     named = names.drop("n_shingles").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_key").alias("component_id"))
     labels = named.join(least, "root").select(
