@@ -43,9 +43,9 @@ from pelagrid.llm.graph import components, matched, written
 
 BASE = 3  # common hashes that make two entries of a tree neighbours
 DEPTH = 6  # hashes of one tree
-WINDOW = 8  # neighbours on each side that an entry meets in each order
+WINDOW = 4  # neighbours on each side that an entry meets in each order
 REACH = 128  # and of those up to here, on each side, the
-FAR_PAIRS = 2  # best by their sketches
+FAR_PAIRS = 1  # best by its sketch; more of them make a dense region
 MISSED = 1e-5  # chance that a pair at the threshold shares no base prefix
 PAIRS_AT_ONCE = 256  # whose sets are in a task's memory together
 BLOCK_CLASSES = 512  # classes in one side of a tile, or
