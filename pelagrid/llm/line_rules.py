@@ -31,11 +31,16 @@ SPAN = 5  # words of a window
 
 @dataclass(frozen=True)
 class Limits:
-    """A line is boilerplate in more than ``least_documents`` and ``share`` of a host's documents."""
+    """A line is boilerplate in more than ``line_documents`` of a host's different documents, however large the host.
+
+    A line of fewer than ``chance_words`` words returns by chance in a fixed share of all texts; it must also
+    be in more than ``share`` of them.
+    """
 
     min_words: int = 10
     repeat_percent: int = 20
-    least_documents: int = 20
+    line_documents: int = 20
+    chance_words: int = 4
     share: float = 0.05
     kept_words: int = 10  # words that a text must keep
     kept_share: float = 0.3  # and share of its words
@@ -113,23 +118,24 @@ def frequent_lines(
 ) -> DataFrame:
     """host, line (hash) and documents for the lines above the limit of their host."""
     lines = _line_rows(documents) if lines is None else lines
+    counted = (
+        # A line has the same number of words wherever it stands.
+        lines.select("host", "line", "words", "text_a", "text_b")
+        .distinct()
+        .groupBy("host", "line", "words")
+        .agg(F.count("*").alias("documents"))
+        .where(F.col("documents") > limits.line_documents)
+    )
     host_size = (
         documents.select(_host().alias("host"), *_identity())
         .distinct()
         .groupBy("host")
         .agg(F.count("*").alias("size"))
     )
-    counted = (
-        lines.select("host", "line", "text_a", "text_b")
-        .distinct()
-        .groupBy("host", "line")
-        .agg(F.count("*").alias("documents"))
-        .where(F.col("documents") > limits.least_documents)
-    )
     return (
         counted.join(host_size, "host")
-        .where(F.col("documents") > limits.share * F.col("size"))
-        .drop("size")
+        .where((F.col("words") >= limits.chance_words) | (F.col("documents") > limits.share * F.col("size")))
+        .drop("size", "words")
     )
 
 
@@ -192,21 +198,36 @@ def judge(documents: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def without_frequent_lines(documents: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The kept documents, with the boilerplate lines of their host taken out of the text.
+    """All documents, with the boilerplate lines of their host taken out of the text; null texts stay null.
 
-    The text of a host's line list is matched by hash inside the row, through one list of its
-    boilerplate lines per host.
+    Lines become rows and meet the boilerplate by (host, hash), so no host's list of lines is held in a
+    row; what is left of each different text is put together once and joined back to its copies.
     """
-    lists = frequent_lines(documents, limits).groupBy("host").agg(F.collect_set("line").alias("_lines"))
+    common = frequent_lines(documents, limits).select("host", "line")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    cleaned = F.array_join(
-        F.filter(
-            F.split(text, "\n"),
-            lambda x: ~F.coalesce(F.array_contains("_lines", F.xxhash64(_normal(x))), F.lit(False)),
-        ),
-        "\n",
-    )
+    pieces = (
+        documents.select(_host().alias("host"), *_identity(), text.alias("text")).dropDuplicates(["host", "text_a", "text_b"])
+        .select("host", "text_a", "text_b", F.posexplode(F.split("text", "\n")).alias("at", "raw"))
+        .withColumn("line", F.xxhash64(_normal(F.col("raw"))))
+    )
+    own = ["host", "text_a", "text_b"]
+    touched = written(pieces.join(common, ["host", "line"], "left_semi").select(*own, "at"), "boilerplate")
+    # Only texts that lose a line are put together again.
+    left = (
+        pieces.join(touched.select(*own).distinct(), own, "left_semi")
+        .join(touched, [*own, "at"], "left_anti")
+        .groupBy(*own)
+        .agg(F.array_sort(F.collect_list(F.struct("at", "raw"))).alias("left"))
+    )
+    cleaned = touched.select(*own).distinct().join(left, own, "left").select(
+        F.struct(*own).alias("_line_rules_key"),
+        F.array_join(F.transform("left", lambda x: x["raw"]), "\n").alias("_line_rules_left"),
+        F.lit(True).alias("_line_rules_cut"),
+    )
+    new = F.when(F.col("_line_rules_cut"), F.coalesce("_line_rules_left", F.lit(""))).otherwise(F.col("text"))
     return (
-        documents.withColumn("host", _host()).join(lists, "host", "left")
-        .withColumn("text", F.when(F.col("text").isNotNull(), cleaned)).drop("host", "_lines")
+        documents.withColumn("_line_rules_key", F.struct(_host().alias("host"), *_identity()))
+        .join(cleaned, "_line_rules_key", "left")
+        .withColumn("text", new)
+        .select(*documents.columns)
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pelagrid.llm import licences
 
 OP10 = r"""
@@ -25,9 +27,11 @@ WITH d AS (
               '[1-9]', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
   FROM (SELECT r, host, text, unnest(lines) AS raw FROM w)
 ), freq AS (
-  SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS n FROM ln GROUP BY ALL)
+  SELECT host, line FROM (
+    SELECT host, line, max(len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+'))) AS words, count(DISTINCT text) AS n
+    FROM ln GROUP BY host, line)
   JOIN (SELECT host, count(DISTINCT text) AS size FROM d GROUP BY host) USING (host)
-  WHERE n > 20 AND n > 0.05 * size
+  WHERE n > 20 AND (words >= 4 OR n > 0.05 * size)
 ), gone AS (
   SELECT r, sum(len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')))::BIGINT AS n
   FROM ln SEMI JOIN freq USING (host, line) GROUP BY r
@@ -112,30 +116,56 @@ FROM o GROUP BY conv_id, assistant, part
 
 
 def _licence_sql() -> str:
-    """The readings of a text as rows, joined with the sentence table."""
+    """Words as rows' lists: every place after a bound is tried with every sentence of its length."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    sentences = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in licences.known().items())
+    plain = lambda x: " ".join(re.findall("[a-z0-9]+", x.lower()))
+    listed = lambda table: ", ".join(
+        f"({quoted(plain(form))}, {quoted(name)}, {len(plain(form).split())})" for name, forms in table.items() for form in forms
+    )
     rules = ", ".join(
         f"({i}, {quoted(name)}, {quoted(kind)}, {quoted('.*'.join(f' {x} ' for x in ids))})"
         for i, (name, kind, ids) in enumerate(licences.RULES)
     )
     return rf"""
-WITH known(form, id) AS (VALUES {sentences}), rules(rank, name, kind, pattern) AS (VALUES {rules}),
-d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
-cut AS (
-  SELECT r, string_split(text, chr(10)) AS lines,
-         string_split(regexp_replace(text, '([.;:!?])\s+|\n\s*\n', '\1' || chr(1), 'g'), chr(1)) AS flat FROM d
-), p AS (
-  SELECT r, 0 AS reading, unnest(lines) AS piece, unnest(range(len(lines))) AS i FROM cut
-  UNION ALL SELECT r, 2, unnest(flat), unnest(range(len(flat))) FROM cut
-  UNION ALL SELECT r, 1, unnest(parts), unnest(range(len(parts))) FROM (
-    SELECT r, flatten(list_transform(lines, lambda x:
-      string_split(regexp_replace(x, '([.;:!?])\s+|\n\s*\n', '\1' || chr(1), 'g'), chr(1)))) AS parts FROM cut)
+WITH known(form, id, n) AS (VALUES {listed(licences.SENTENCES)}), spdx(form, id, n) AS (VALUES {listed(licences.SPDX)}),
+rules(rank, name, kind, pattern) AS (VALUES {rules}),
+d AS (SELECT row_number() OVER () AS r, doc_id, lower(coalesce(text, '')) AS text FROM documents),
+piece AS (
+  SELECT r, piece, k FROM (
+    SELECT r, unnest(pieces) AS piece, unnest(range(len(pieces))) AS k FROM (
+      SELECT r, string_split(regexp_replace(text, '[.;:!?]["'')\]]*([ \t\n\f\r]|$)|\n', chr(1), 'g'), chr(1)) AS pieces FROM d
+      WHERE regexp_matches(text, 'licen|permi|copyright|warrant|redistribut|reserved|cc0|software'))
+  )
+), w AS (
+  SELECT r, k, unnest(words) AS word, unnest(range(len(words))) AS j, len(words) AS size
+  FROM (SELECT r, k, regexp_extract_all(piece, '[a-z0-9]+') AS words FROM piece)
+), t AS (
+  SELECT r, list(word ORDER BY k, j) AS words, list(j = 0 ORDER BY k, j) AS firsts, list(j = size - 1 ORDER BY k, j) AS lasts
+  FROM w GROUP BY r
+), s AS (
+  SELECT r, i, words, firsts, lasts FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM t) WHERE firsts[i]
+), sentence AS (
+  SELECT r, i, i + n - 1 AS last, [id] AS ids FROM s JOIN known
+  ON split_part(form, ' ', 1) = words[i] AND lasts[i + n - 1] AND array_to_string(words[i:i + n - 1], ' ') = form
+), tag AS (
+  SELECT r, i, i + 2 + list_position(lasts[i + 3:], true) AS last,
+         array_to_string(words[i + 3:i + 2 + list_position(lasts[i + 3:], true)], ' ') AS expression
+  FROM s WHERE words[i:i + 2] = ['spdx', 'license', 'identifier'] AND len(words) > i + 2
+), named AS (
+  SELECT r, i, name, place FROM (
+    SELECT r, i, unnest(names) AS name, unnest(range(len(names))) AS place FROM (
+      SELECT r, i, string_split(regexp_replace(replace(expression, ' or later', '-or-later'), ' (and|or|with) ', '|', 'g'), '|') AS names
+      FROM tag))
+), tagged AS (
+  SELECT r, i, list(id ORDER BY place) AS ids FROM named JOIN spdx ON replace(name, '-or-later', ' or later') = form GROUP BY r, i
 ), f AS (
-  SELECT r, reading, count(*) AS n, list(id ORDER BY i) AS ids
-  FROM p JOIN known ON trim(regexp_replace(lower(piece), '[^a-z0-9]+', ' ', 'g')) = form GROUP BY ALL
+  SELECT r, i, max(last) AS last, arg_max(ids, last) AS ids FROM (
+    SELECT r, i, last, ids FROM sentence
+    UNION ALL SELECT tag.r, tag.i, last, coalesce(ids, []) FROM tag LEFT JOIN tagged ON tag.r = tagged.r AND tag.i = tagged.i
+  ) GROUP BY r, i
 ), best AS (
-  SELECT r, arg_max(ids, n * 10 - reading) AS ids FROM f GROUP BY r
+  SELECT r, flatten(list(ids ORDER BY i)) AS ids FROM f
+  WHERE NOT EXISTS (SELECT 1 FROM f AS e WHERE e.r = f.r AND e.i < f.i AND f.i <= e.last) GROUP BY r
 ), h AS (
   SELECT r, rank, name, kind FROM best, rules
   WHERE regexp_matches(' ' || array_to_string(ids, '  ') || ' ', pattern)
