@@ -2,9 +2,9 @@
 
 A window without PARTITION BY moves all rows to one task. Here rows are range-partitioned
 on the sort key, numbered inside each slice, and shifted by the number of rows in the
-slices before it. The slices are checkpointed: slice borders come from sampling, and
-every later use must see the same ones. Small tables are one or two slices of the
-same plan.
+slices before it. Rows are written once before the split, which samples its input, and the
+slices once after it: every later use must see the same borders. Small tables are one or two
+slices of the same plan.
 
 A range split cannot divide equal keys, so ``row_number`` and ``ntile`` want an order that
 is unique per row. ``rank`` and ``value_tiles`` work on counts per distinct value, whatever
@@ -16,15 +16,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pelagrid.session import stage
+from pelagrid.session import kept
 
 
 def _running_total(df: DataFrame, order: list[Column], weight: Column, out: str, total: str = "_all") -> DataFrame:
     """Inclusive running sum of ``weight`` in ``order``, and the sum over all rows."""
-    sliced = stage(
-        df.repartitionByRange(*order).withColumns(
+    sliced = kept(
+        kept(df, "to-slice").repartitionByRange(*order).withColumns(
             {"_slice": F.spark_partition_id(), "_weight": weight.cast("long")}
-        )
+        ),
+        "slices",
     )
     # One row per slice: the size of both the window and the broadcast.
     earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,15 +93,25 @@ def value_tiles(df: DataFrame, value: str, tiles: int, out: str) -> DataFrame:
 def rank(df: DataFrame, values: dict[str, Column]) -> DataFrame:
     """RANK() by descending value, for several values at once.
 
-    ``values`` maps the output column to the expression ranked. Distinct values are counted and
-    ranked, and the result is joined back.
+    ``values`` maps the output column to the expression ranked. Distinct values of all columns of
+    one type are counted in one scan and ranked in one running sum, in which every column has as many
+    rows as the table; the result is joined back.
     """
-    ranked = stage(df.withColumns({f"_v_{out}": value for out, value in values.items()}))
+    ranked = kept(df.withColumns({f"_v_{out}": value for out, value in values.items()}), "to-rank")
+    types: dict[str, list[str]] = {}
     for out in values:
-        key = f"_v_{out}"
-        counted = ranked.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        totals = _running_total(counted, [F.col(key).desc()], F.col("_n"), "_upto").select(
-            F.col(key).alias("_key"), (F.col("_upto") - F.col("_n") + 1).cast("int").alias(out)
+        types.setdefault(ranked.schema[f"_v_{out}"].dataType.simpleString(), []).append(out)
+    joined = ranked
+    for outs in types.values():
+        pairs = [F.struct(F.lit(k).alias("_which"), F.col(f"_v_{out}").alias("_value")) for k, out in enumerate(outs)]
+        counted = ranked.select(F.inline(F.array(*pairs))).groupBy("_which", "_value").agg(F.count(F.lit(1)).alias("_n"))
+        upto = _running_total(counted, [F.asc("_which"), F.desc("_value")], F.col("_n"), "_upto")
+        before = F.col("_which") * (F.col("_all") / len(outs)).cast("long")
+        places = kept(
+            upto.select("_which", "_value", (F.col("_upto") - before - F.col("_n") + 1).cast("int").alias("_place")),
+            "ranks",
         )
-        ranked = ranked.join(totals, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-    return ranked.drop(*(f"_v_{out}" for out in values))
+        for k, out in enumerate(outs):
+            own = places.where(F.col("_which") == k).select(F.col("_value").alias("_key"), F.col("_place").alias(out))
+            joined = joined.join(own, F.col(f"_v_{out}").eqNullSafe(F.col("_key")), "left").drop("_key")
+    return joined.select(*df.columns, *values)

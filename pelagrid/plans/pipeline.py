@@ -249,16 +249,10 @@ class Pipeline:
         """
         unfiltered = self.model("composite_unfiltered")
         viable = F.col("viability_flag") == FLAG_VIABLE
-        if self.config.rank_scope == "viable":
-            base = stage(unfiltered)
-            ranked = ranking.row_number(base.where(viable), best_first(), "site_rank")
-            ranked = ranked.unionByName(
-                base.where(~viable).withColumn("site_rank", F.lit(None).cast("int"))
-            )
-        else:
-            ranked = ranking.row_number(unfiltered, best_first(), "_rank").withColumn(
-                "site_rank", F.when(viable, F.col("_rank"))
-            )
+        first = [viable.desc()] if self.config.rank_scope == "viable" else []
+        ranked = ranking.row_number(unfiltered, [*first, *best_first()], "_rank").withColumn(
+            "site_rank", F.when(viable, F.col("_rank"))
+        )
         return ranked.select("site_rank", *COMPOSITE, "viability_flag").orderBy(
             F.asc("viability_flag"), F.desc("final_score")
         )

@@ -90,6 +90,16 @@ def stage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back.
+
+    A checkpoint computes its frame twice, for a count and for its files; this does it once.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def read_once(batch: DataFrame) -> Iterator[DataFrame]:
     """Stage a batch in the shared folder while several jobs read it.

@@ -80,3 +80,14 @@ def test_distributed_rank_equals_window(scores):
     plain = scores.withColumns({k: F.rank().over(Window.orderBy(v.desc())) for k, v in values.items()}).collect()
     sliced = ranking.rank(scores, values).collect()
     assert {(r.name, r.a, r.b) for r in plain} == {(r.name, r.a, r.b) for r in sliced}
+
+
+def test_ranks_of_several_types_with_nulls_equal_windows(frame):
+    rows = [(i, None if i % 11 == 0 else (i * 7) % 5, None if i % 13 == 0 else (i % 17) / 4, i // 2) for i in range(300)]
+    df = frame(rows, "id int, a long, b double, c int")
+    values = {"ra": F.col("a"), "rb": F.col("b"), "rc": F.col("c"), "rd": F.col("b") * -1}
+    got = ranking.rank(df, values)
+    want = df.withColumns({k: F.rank().over(Window.orderBy(v.desc())) for k, v in values.items()})
+    assert got.columns == want.columns
+    assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
+    assert ranking.rank(df.limit(0), values).count() == 0
