@@ -1,8 +1,9 @@
 """Benchmark decontamination by canonical templates, in SQL functions only.
 
-Texts and benchmark items become lower-cased word sequences in which numbers (with a
-unit that follows) and, in a second form, names (capitalised words inside a sentence) are typed
-placeholders. Windows of ``WIDTH`` such words are hashed and joined with those of
+Texts and benchmark items become lower-cased word sequences in which numbers (digits or words) and
+units are typed placeholders. In a second form names are placeholders too: runs of words with a
+capital, wherever they stand, so also at the beginning of a sentence, after a quote, a bracket or a line
+break. Windows of ``WIDTH`` such words are hashed and joined with those of
 the benchmark. An item counts as found in a text if enough of its different windows are
 there with the item's own values, or with values that agree: each value of the item stands for one
 value of the text and the other way round. Values are compared place by place: windows with slots that
@@ -11,12 +12,15 @@ on those that agree with it are added, nearest first. So exact copies, copies in
 re-parameterised questions are found, also beside variants of the same question, while a
 chance likeness of templates with clashing values is not.
 
+A sequence shorter than a window is one window of its own, found in texts that are no longer.
+It has placeholders only if ``LITERALS`` of its words are literal.
+
 The join works on 8-byte hashes. The benchmark's windows are broadcast while
 their counted number is bounded and shuffled beyond; texts are never shuffled. Verdicts are
 kept by text identity, so copies of a text are matched once in each task.
 
-Defined results: null and empty texts, and texts shorter than a window, are clean;
-items with fewer than ``WIDTH`` words, or without a window of two literal words, cannot be
+Defined results: null and empty texts, and texts without words, are clean; items without words or
+without a window of two literal words (and longer than a window) cannot be
 found; repeated item ids are one item with the windows of all its rows. Extra columns are carried along.
 """
 
@@ -32,76 +36,91 @@ LITERALS = 2  # words of a window that must not be placeholders
 COVERAGE = 0.8  # share of an item's windows that makes it found
 PASSAGE_WINDOWS = 46  # or this many of them, 50 words: a long passage of a longer item
 
-# Placeholders begin with a control character, the value follows.
-NUMBER, NAME, END = "\x01", "\x02", "\x04"
+# Placeholders are control characters; values are kept beside them.
+NUMBER, NAME, UNIT, END = "\x01", "\x02", "\x03", "\x04"
+NUMBER_WORDS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
+    "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million "
+    "billion dozen"
+).split()
+# Units wherever they stand, and those that are units after a number only.
 UNITS = (
-    "%|percent|per cent|°[CF]|degrees?|[kcm]?m|[km]?g|m?[lL]|kg|lbs?|oz|miles?|feet|foot|ft|inch(?:es)?|yards?|"
-    "km/h|mph|m/s|ms|s|secs?|seconds?|mins?|minutes?|h|hrs?|hours?|days?|weeks?|months?|years?|"
-    "dollars?|cents?|euros?|pounds?|[$€£]|[kM]?W|[kM]?Wh|[kM]?V|[kMG]?Hz|[kMGT]B"
+    "percent degree degrees meter meters metre metres kilometer kilometers kilometre kilometres centimeter "
+    "centimeters centimetre centimetres millimeter millimeters millimetre millimetres mile miles yard yards foot "
+    "feet inch inches gram grams kilogram kilograms ton tons tonne tonnes ounce ounces pound pounds liter liters "
+    "litre litres milliliter milliliters millilitre millilitres gallon gallons second seconds minute minutes hour "
+    "hours day days week weeks month months year years cent cents dollar dollars euro euros mph watt watts volt "
+    "volts hertz $ € £ % ° °c °f"
+).split()
+SHORT_UNITS = (
+    "m km cm mm g kg mg t l ml lb lbs oz ft yd s sec secs ms min mins h hr hrs w kw mw wh kwh mwh v kv hz khz mhz "
+    "ghz kb mb gb tb k c f"
+).split()
+
+_LETTER = r"[\p{L}\p{M}\p{N}]"
+_NUMBER_WORD = rf"(?:{'|'.join(NUMBER_WORDS)})(?!{_LETTER})"
+_NAME = rf"\p{{Lu}}{_LETTER}*+"
+# Repeated groups are possessive: they run in a loop, however long a run is.
+_TOKEN = (
+    r"\d++(?:[.,:/]\d++)*+|[$€£](?=\d)|(?<=\d ?)(?:%|°[CFcf]?)"
+    rf"|(?i:{_NUMBER_WORD}(?:[ -]{_NUMBER_WORD})++)|{_NAME}(?: {_NAME})*+|{_LETTER}++"
 )
-_NUMBER = rf"[$€£]?\d+(?:[.,:/]\d+)*(?:[ -]?(?i:{UNITS})(?![\p{{L}}\p{{N}}]))?"
-# A capitalised word after a word, comma or semicolon and one space.
-_NAME = r"(?<=[\p{Ll}\p{N},;\x02-\x04] )\p{Lu}\p{Ll}+"
-_TOKEN = r"[\x01\x02][^\x04]*\x04|[\p{L}\p{M}\p{N}]+"
 
 
 def tokens(text: Column, names: bool) -> Column:
-    """Words of a text; placeholders carry their value after the type's character."""
-    marked = F.when(
-        text.rlike(r"\d"), F.regexp_replace(text, _NUMBER, f"{NUMBER}$0{END} ")
-    ).otherwise(text)
-    if names:
-        marked = F.regexp_replace(marked, _NAME, f"{NAME}$0{END}")
-    return F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
-
+    """Words of a text; numbers in several words and, with ``names``, runs of names are one."""
+    return F.regexp_extract_all(text if names else F.lower(text), F.lit(_TOKEN), F.lit(0))
 
-def _is_slot(token: Column) -> Column:
-    return token < F.lit(END)
 
+def _is_digits(word: Column) -> Column:
+    return (word >= "0") & (word < ":")
 
-def _hashes(words: str, form: int) -> Column:
-    """(h, slots, place) for every window of a token list; without slots, slots and place are null."""
-    places = F.sequence(F.lit(0), F.size(words) - WIDTH)
-    typed = lambda x: F.when(_is_slot(x), F.substring(x, 1, 1)).otherwise(x)
 
-    def plain(i):
-        return F.struct(
-            F.xxhash64(F.lit(form), *[F.get(words, i + k) for k in range(WIDTH)]).alias("h"),
-            F.lit(None).cast("array<string>").alias("slots"),
-            F.lit(None).cast("long").alias("place"),
-        )
+def typed(words: Column) -> Column:
+    """The words lower-cased, with placeholders instead of numbers, units and words with a capital."""
 
-    def slotted(i):
-        own = [F.get(words, i + k) for k in range(WIDTH)]
-        slots = F.filter(F.array(*own), _is_slot)
-        return F.struct(
-            F.xxhash64(F.lit(form), *[typed(x) for x in own]).alias("h"),
-            F.when(F.size(slots) > 0, slots).alias("slots"),
-            F.when(F.size(slots) > 0, i.cast("long")).alias("place"),
+    def of(word, i):
+        low = F.lower(word)
+        last = F.substring_index(F.substring_index(low, " ", -1), "-", -1)
+        after_number = _is_digits(F.coalesce(F.get(words, i - 1), F.lit("")))
+        return (
+            F.when(_is_digits(word) | last.isin(NUMBER_WORDS), NUMBER)
+            .when(low.isin(UNITS) | (low.isin(SHORT_UNITS) & after_number), UNIT)
+            .when(low != word, NAME)
+            .otherwise(word)
         )
 
-    whole = F.when(F.exists(words, _is_slot), F.transform(places, slotted)).otherwise(
-        F.transform(places, plain)
-    )
-    literal = lambda w: F.coalesce(F.size(w["slots"]), F.lit(0)) <= WIDTH - LITERALS
-    kept = F.filter(whole, literal)
-    return F.when(F.size(words) >= WIDTH, kept)
+    made = F.transform(words, of)
+    literal = F.size(F.filter(made, lambda x: x >= END))
+    short = (F.size(words) < WIDTH) & (literal < LITERALS)
+    return F.when(short, F.transform(words, F.lower)).otherwise(made)
 
 
 def windows(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """One row (keys, h, slots, place) for every window of column ``text`` in both forms.
+    """One row (keys, form, h, place, words, types) for every window of column ``text`` in both forms.
 
-    The form with names is only made where a text has one; elsewhere both are the same.
+    Form 0 has names as words, form 1 as placeholders; a text without capitals has form 0 only.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = texts.select(*keys, text.alias("text"))
-    listed = plain.withColumn("words", tokens(F.col("text"), False))
-    listed = listed.withColumn(
-        "named", F.when(F.col("text").rlike(_NAME), tokens(F.col("text"), True))
+    forms = F.when(F.col("text") != F.lower("text"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    listed = (
+        plain.select(*keys, "text", F.explode(forms).alias("form"))
+        .withColumn("words", F.when(F.col("form") == 0, tokens(F.col("text"), False)).otherwise(tokens(F.col("text"), True)))
+        .select(*keys, "form", "words", typed(F.col("words")).alias("types"))
+        .where(F.size("words") > 0)
     )
-    made = listed.select(*keys, _hashes("words", 0).alias("w0"), _hashes("named", 1).alias("w1"))
-    both = F.concat(F.coalesce("w0", F.array()), F.coalesce("w1", F.array()))
-    return made.select(*keys, F.explode(both).alias("w")).select(*keys, "w.h", "w.slots", "w.place")
+    places = F.sequence(F.lit(1), F.greatest(F.size("words") - WIDTH + 1, F.lit(1)))
+    hashes = F.transform(places, lambda i: F.xxhash64(F.col("form"), F.slice("types", i, WIDTH)))
+    each = listed.select(*keys, "form", "words", "types", F.posexplode(hashes).alias("place", "h"))
+    cut = lambda c: F.slice(c, F.col("place") + 1, WIDTH).alias(c)
+    return each.select(*keys, "form", "h", F.col("place").cast("long").alias("place"), cut("words"), cut("types"))
+
+
+def _slots() -> Column:
+    """The values of a window's placeholders, null if it has none."""
+    both = F.filter(F.arrays_zip("words", "types"), lambda w: w["types"] < END)
+    return F.when(F.size(both) > 0, F.transform(both, lambda w: F.lower(w["words"])))
 
 
 def _identity(text: str = "text") -> list[Column]:
@@ -112,19 +131,18 @@ def _identity(text: str = "text") -> list[Column]:
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, form, h, slots, place and n, the item's different windows.
 
-    Places of different texts with the same item id are far apart.
+    Places of different texts with the same item id are far apart. Windows of too few literal words are left out.
     """
-    forms = []
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    for form in (0, 1):
-        listed = benchmark.select(
-            "item_id", tokens(text, bool(form)).alias("words"), F.shiftleft(F.xxhash64(text).bitwiseAND((1 << 31) - 1), 31).alias("own")
-        )
-        made = listed.select("item_id", "own", F.explode(_hashes("words", form)).alias("w"))
-        forms.append(
-            made.select("item_id", F.lit(form).alias("form"), "w.h", "w.slots", (F.col("own") + F.col("w.place")).alias("place"))
-        )
-    each = forms[0].unionByName(forms[1]).where("item_id is not null").distinct()
+    own = F.shiftleft(F.xxhash64(text).bitwiseAND((1 << 31) - 1), 31)
+    made = windows(benchmark.where("item_id is not null").select("item_id", "text", own.alias("own")), ["item_id", "own"])
+    literal = F.size(F.filter("types", lambda x: x >= END))
+    each = (
+        made.where((literal >= LITERALS) | (F.size("types") < WIDTH))
+        .withColumn("slots", _slots())
+        .select("item_id", "form", "h", "slots", F.when(F.col("slots").isNotNull(), F.col("own") + F.col("place")).alias("place"))
+        .distinct()
+    )
     sizes = each.groupBy("item_id", "form").agg(F.countDistinct("h").alias("n"))
     return written(each.join(sizes, ["item_id", "form"]), "item-windows")
 
@@ -163,15 +181,15 @@ def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """text_a, text_b, item_id, coverage, changed: the items found in each different text."""
     items = item_windows(benchmark)
     own = windows(documents.select(*_identity(), "text"), ["text_a", "text_b"])
-    shared = matched(own, items.select("h").distinct(), ["h"])
+    shared = matched(own, items.select("h").distinct(), ["h"]).withColumn("own_slots", _slots())
     # One row for each text and window without slots, and for each place of one with slots,
     # whatever the number of copies.
+    place = F.when(F.col("own_slots").isNotNull(), F.col("place"))
     first = written(
-        shared.select("text_a", "text_b", "h", F.col("slots").alias("own_slots"), F.col("place").alias("own_place")).distinct(),
-        "shared-windows",
+        shared.select("text_a", "text_b", "form", "h", "own_slots", place.alias("own_place")).distinct(), "shared-windows"
     )
     same = F.coalesce(F.col("slots") == F.col("own_slots"), F.lit(True))
-    pairs = first.join(items, "h").select(
+    pairs = first.join(items, ["form", "h"]).select(
         "text_a", "text_b", "item_id", "form", "n", "h", same.alias("same"),
         (F.col("own_place") - F.col("place")).alias("offset"),
         F.arrays_zip(F.col("slots").alias("item"), F.col("own_slots").alias("own")).alias("values"),
@@ -194,9 +212,15 @@ def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.collect_list(F.when(slotted & agrees, F.struct("offset", "hs", "values"))).alias("groups"),
     )
     enough = lambda c: (c >= COVERAGE * F.col("n")) | (c >= PASSAGE_WINDOWS)
+    # One occurrence that is enough by itself ends the search.
+    alone = lambda g: enough(F.col("literal") + F.size(g["hs"]))
     return (
         grouped.where(enough(F.col("shared")))
-        .where(enough(F.col("same")) | enough(F.col("literal") + _most_agreeing("groups")))
+        .where(
+            F.when(enough(F.col("same")) | F.exists("groups", alone), True).otherwise(
+                enough(F.col("literal") + _most_agreeing("groups"))
+            )
+        )
         .withColumn("changed", F.col("shared") > F.col("same"))
         .groupBy("text_a", "text_b", "item_id")
         .agg(F.max(F.col("shared") / F.col("n")).alias("coverage"), F.max("changed").alias("changed"))

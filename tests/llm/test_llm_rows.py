@@ -1,7 +1,12 @@
 """Chat, decontamination, licences and line rules against oracles and planted rows."""
 
+import random
+import time
+from collections import defaultdict
+
 import duckdb
 import pytest
+import regex
 
 from pelagrid.llm import chat, decontaminate, licences, line_rules, oracles
 
@@ -112,6 +117,151 @@ def test_decontamination_tells_occurrences_of_a_template_apart(frame):
     assert found == {1: ([0], False), 2: ([0], True), 3: ([0], True), 5: ([1], True)}
 
 
+QUESTION = (
+    "Anna drives 12 kilometers to the old market. Bruno follows her with seven crates of fruit. "
+    "Together they sell thirty two crates in 3 hours. How many kilometers does Anna drive back?"
+)
+
+
+def test_decontamination_types_names_at_sentence_starts_units_and_number_words(frame):
+    other = (
+        QUESTION.replace("Anna", "Mary Ann").replace("Bruno", "Theo").replace("12", "7").replace("kilometers", "miles")
+        .replace("seven", "ninety-four").replace("thirty two", "5").replace("3 hours", "40 minutes").replace("Together", "Today")
+    )
+    texts = {
+        1: other,
+        2: '"' + other.replace(". ", '."\n(') + ")",  # after quotes, brackets and line breaks
+        3: QUESTION.lower(),
+        4: other.replace("drive back", "look like").replace("sell", "eat").replace("follows", "leaves").replace("old", "new"),
+        5: QUESTION.replace("Anna drives", "Bruno drives"),  # one window changed
+        6: "What is gravity?",
+        7: "What is gravity? A long answer follows",
+        8: "7 + 9",
+        9: "Convert 80 miles please",
+        10: "THE WHOLE " * 20_000,  # one run of capitals
+    }
+    docs = frame([(k, t, None, None, None, True, None) for k, t in texts.items()], DOCS)
+    items = [(0, QUESTION), (1, "what is gravity"), (2, "2 + 2"), (3, "Convert 12 km please"), (4, "7 + 9"), (5, "?")]
+    rows = decontaminate.mark(docs, frame(items, "item_id long, text string")).collect()
+    found = {r.doc_id: (r.item_ids, r.changed) for r in rows if r.contaminated}
+    assert found == {
+        1: ([0], True), 2: ([0], True), 3: ([0], False), 5: ([0], False), 6: ([1], False), 8: ([4], False), 9: ([3], True),
+    }
+
+
+def test_decontamination_of_thousands_of_lines_of_one_template(frame):
+    lines = "\n".join(TANK.format(1000 + i, 20000 + i) for i in range(5000))
+    docs = frame([(1, lines, None, None, None, True, None)], DOCS)
+    began = time.monotonic()
+    rows = decontaminate.mark(docs, frame([(0, TANK.format(40, 9))], "item_id long, text string")).collect()
+    assert [(r.item_ids, r.changed) for r in rows] == [([0], True)] and time.monotonic() - began < 60
+
+
+def _plain_words(text, form):
+    """(placeholder or word, value) of a text, read word by word."""
+    number = set(decontaminate.NUMBER_WORDS)
+    pieces = regex.findall(
+        r"\d+(?:[.,:/]\d+)*|[$€£](?=\d)|(?<=\d|\d )(?:%|°[CFcf]?)|[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}]", text if form else text.lower()
+    )
+    words, gap = [], ""
+    for p in pieces:
+        if not regex.match(r"[\p{L}\p{M}\p{N}$€£%°]", p):
+            gap += p
+            continue
+        digits, low = regex.match(r"[0-9]", p) is not None, p.lower()
+        capital = bool(form) and regex.match(r"\p{Lu}", p) is not None
+        last = words[-1] if words else None
+        if last and gap in (" ", "-") and low in number and last["number"]:
+            last["value"] += gap + low
+        elif last and gap == " " and capital and last["capital"] and not last["number"]:
+            last["value"] += " " + low
+        else:
+            after = bool(last) and last["digits"]
+            kind = (
+                "#" if digits or low in number else "unit" if low in decontaminate.UNITS or (after and low in decontaminate.SHORT_UNITS)
+                else "name" if form and low != p else None
+            )
+            words.append({"kind": kind, "value": low, "digits": digits, "capital": capital, "number": low in number and not digits})
+        gap = ""
+    return [(w["kind"], w["value"]) for w in words]
+
+
+def _plain_windows(text, form):
+    words = _plain_words(text, form)
+    if len(words) < 5 and sum(k is None for k, _ in words) < 2:
+        words = [(None, v) for _, v in words]
+    for i in range(max(len(words) - 4, min(len(words), 1))):
+        own = words[i : i + 5]
+        yield i, tuple(k or v for k, v in own), tuple((k is None, v) for k, v in own), [v for k, v in own if k]
+
+
+def _plain_found(text, item):
+    """Whether an item stands in a text, comparing every window of one with every window of the other."""
+    for form in (0, 1):
+        if form and text == text.lower():
+            continue
+        wanted = [w for w in _plain_windows(item, form) if len(w[1]) < 5 or len(w[3]) <= 3]
+        n = len({w[1] for w in wanted})
+        enough = lambda k, n=n: n > 0 and (k >= 0.8 * n or k >= 46)
+        own = defaultdict(list)
+        for w in _plain_windows(text, form):
+            own[w[1]].append(w)
+        same, literal, groups = set(), set(), defaultdict(lambda: (set(), set()))
+        for i, h, _, slots in wanted:
+            for j, _, _, values in own.get(h, []):
+                if not slots:
+                    literal.add(h)
+                else:
+                    groups[j - i][0].add(h)
+                    groups[j - i][1].update(zip(slots, values))
+                if slots == values:
+                    same.add(h)
+        if enough(len(same)):
+            return True
+        single = lambda v: len({a for a, _ in v}) == len(v) == len({b for _, b in v})
+        good = {o: g for o, g in groups.items() if single(g[1])}
+        best = len(literal)
+        for seed, (hs, values) in good.items():
+            hs, values = set(hs), set(values)
+            for o in sorted(good, key=lambda o: (abs(o - seed), o)):
+                if single(values | good[o][1]):
+                    values |= good[o][1]
+                    hs |= good[o][0]
+            best = max(best, len(literal) + len(hs))
+        if enough(best):
+            return True
+    return False
+
+
+def test_decontamination_against_brute_force(frame):
+    rng = random.Random(5)
+    vocabulary = (
+        "the a tank pump holds fills with salt and water when Anna Bruno Theo 12 7 40 9 km miles hours seven twenty "
+        "hundred Then Who one two for parts"
+    ).split()
+    said = lambda n: " ".join(w + rng.choice(["", "", "", ".", ",", ".\n", "-"]) for w in rng.choices(vocabulary, k=n))
+    items = [said(rng.choice([1, 2, 3, 4, 5, 7, 12, 20, 30, 80])) for _ in range(40)]
+    texts = []
+    for _ in range(160):
+        words = rng.choice(items).split(" ")
+        swaps = dict(zip(vocabulary, vocabulary))
+        for group in (["Anna", "Bruno", "Theo"], ["12", "7", "40", "9"], ["km", "miles", "hours"]):
+            swaps.update(zip(group, rng.sample(group, len(group))))
+        for i in range(len(words)):
+            bare = regex.sub(r"[.,\n-]+$", "", words[i])
+            if rng.random() < 0.9:
+                words[i] = swaps.get(bare, bare) + words[i][len(bare) :]
+            elif rng.random() < 0.2:
+                words[i] = rng.choice(vocabulary)
+        body = " ".join(words)
+        texts.append(rng.choice([body, said(9) + " " + body + " " + said(9), body.upper(), body.lower()]))
+    docs = frame([(k, t, None, None, None, True, None) for k, t in enumerate(texts)], DOCS)
+    rows = decontaminate.mark(docs, frame(list(enumerate(items)), "item_id long, text string")).collect()
+    expected = {k: [i for i, item in enumerate(items) if _plain_found(t, item)] for k, t in enumerate(texts)}
+    assert {r.doc_id: r.item_ids for r in rows} == expected
+    assert sum(map(bool, expected.values())) > 50 and sum(not v for v in expected.values()) > 20
+
+
 def test_decontamination_keeps_rows_and_columns(marked, frame):
     kept = decontaminate.clean(marked, frame(ITEMS, "item_id long, text string"))
     assert kept.columns == marked.columns
