@@ -83,11 +83,18 @@ def typed(words: Column) -> Column:
         low = F.lower(word)
         last = F.substring_index(F.substring_index(low, " ", -1), "-", -1)
         after_number = _is_digits(F.coalesce(F.get(words, i - 1), F.lit("")))
-        return (
-            F.when(_is_digits(word) | last.isin(NUMBER_WORDS), NUMBER)
+        other = F.when(low != word, NAME).otherwise(word)
+        listed = (
+            F.when(last.isin(NUMBER_WORDS), NUMBER)
             .when(low.isin(UNITS) | (low.isin(SHORT_UNITS) & after_number), UNIT)
-            .when(low != word, NAME)
-            .otherwise(word)
+            .otherwise(other)
+        )
+        # Most words are in no list.
+        several = word.contains(" ") | word.contains("-")
+        return (
+            F.when(_is_digits(word), NUMBER)
+            .when(low.isin(NUMBER_WORDS + UNITS + SHORT_UNITS) | several, listed)
+            .otherwise(other)
         )
 
     made = F.transform(words, of)
@@ -108,11 +115,12 @@ def windows(texts: DataFrame, keys: list[str]) -> DataFrame:
         plain.select(*keys, "text", F.explode(forms).alias("form"))
         .withColumn("words", F.when(F.col("form") == 0, tokens(F.col("text"), False)).otherwise(tokens(F.col("text"), True)))
         .select(*keys, "form", "words", typed(F.col("words")).alias("types"))
-        .where(F.size("words") > 0)
     )
     places = F.sequence(F.lit(1), F.greatest(F.size("words") - WIDTH + 1, F.lit(1)))
     hashes = F.transform(places, lambda i: F.xxhash64(F.col("form"), F.slice("types", i, WIDTH)))
-    each = listed.select(*keys, "form", "words", "types", F.posexplode(hashes).alias("place", "h"))
+    # The outer form: the other one evaluates the hashes twice, once to filter empty lists.
+    some = F.posexplode_outer(F.when(F.size("words") > 0, hashes)).alias("place", "h")
+    each = listed.select(*keys, "form", "words", "types", some)
     cut = lambda c: F.slice(c, F.col("place") + 1, WIDTH).alias(c)
     return each.select(*keys, "form", "h", F.col("place").cast("long").alias("place"), cut("words"), cut("types"))
 
@@ -138,7 +146,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     made = windows(benchmark.where("item_id is not null").select("item_id", "text", own.alias("own")), ["item_id", "own"])
     literal = F.size(F.filter("types", lambda x: x >= END))
     each = (
-        made.where((literal >= LITERALS) | (F.size("types") < WIDTH))
+        made.where("h is not null").where((literal >= LITERALS) | (F.size("types") < WIDTH))
         .withColumn("slots", _slots())
         .select("item_id", "form", "h", "slots", F.when(F.col("slots").isNotNull(), F.col("own") + F.col("place")).alias("place"))
         .distinct()
