@@ -61,6 +61,38 @@ def test_wave_summary(frame):
         assert (b.avg_wave_period_s, b.maintenance_window_pct) == (None, 0.0)
 
 
+def test_settled_percentiles_are_exact_beyond_the_accuracy_of_the_sketch(spark, monkeypatch):
+    """A coarse sketch is off by hundredths in the site with many rows; the settled one is not."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(summaries, "ACCURACY", 20)
+    draw = F.floor(F.pow(F.pmod(F.xxhash64("id"), F.lit(3000)) / 60.0, 2.0)) / 100
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") < 59_990, "hot").otherwise("small").alias("location_name"),
+        draw.alias("wind_speed_ms"), draw.alias("wave_height"), draw.alias("wave_period"),
+    )
+    series = {}
+    for r in rows.collect():
+        series.setdefault(r.location_name, []).append(r.wave_height)
+    for make, value, percents in (
+        (summaries.wind_summary, "wind_speed_ms", {"p50_wind_speed_ms": 50, "p90_wind_speed_ms": 90}),
+        (summaries.wave_summary, "wave_height", {"p90_wave_height_m": 90, "p95_wave_height_m": 95}),
+    ):
+        sketched = make(rows, percentiles="approx")
+        got = summaries.settled(sketched, rows, value, percents)
+        assert got.columns == sketched.columns
+        want = {(s, c): discrete(series[s], p) for s in series for c, p in percents.items()}
+        assert {(r.site_name, c): r[c] for r in sketched.collect() for c in percents} != want
+        assert {(r.site_name, c): r[c] for r in got.collect() for c in percents} == want
+
+
+def test_approximate_summaries_show_their_percentiles():
+    import oracle
+
+    for name in ("wind_summary",):
+        assert oracle.ORACLES[f"{name}_approx"] == oracle.ORACLES[name]
+
+
 def test_hot_site_is_reduced_before_the_shuffle(spark):
     """One site with most rows: the shuffle carries its histogram, not its rows."""
     from pyspark.sql import functions as F
