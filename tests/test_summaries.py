@@ -89,7 +89,7 @@ def test_settled_percentiles_are_exact_beyond_the_accuracy_of_the_sketch(spark,
 def test_approximate_summaries_show_their_percentiles():
     import oracle
 
-    for name in ("wind_summary",):
+    for name in ("wind_summary", "wave_summary"):
         assert oracle.ORACLES[f"{name}_approx"] == oracle.ORACLES[name]
 
 
