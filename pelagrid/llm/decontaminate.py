@@ -15,8 +15,10 @@ chance likeness of templates with clashing values is not.
 A sequence shorter than a window is one window of its own, found in texts that are no longer.
 It has placeholders only if ``LITERALS`` of its words are literal.
 
-The join works on 8-byte hashes. The benchmark's windows are broadcast while
-their counted number is bounded and shuffled beyond; texts are never shuffled. Verdicts are
+The join works on 8-byte hashes, each made from hashes of the words. A first pass over all texts
+brings nothing but hashes and places; the words of windows are made in a second pass over the texts that share
+enough windows with an item. The benchmark's windows and the identities of those texts are broadcast while
+their counted number is bounded and shuffled beyond. Verdicts are
 kept by text identity, so copies of a text are matched once in each task.
 
 Defined results: null and empty texts, and texts without words, are clean; items without words or
@@ -57,33 +59,57 @@ SHORT_UNITS = (
     "ghz kb mb gb tb k c f"
 ).split()
 
+
+def _prefix_tree(words: list[str]) -> str:
+    """A pattern of the words in which common beginnings are read once."""
+    by_first: dict[str, list[str]] = {}
+    for w in filter(None, words):
+        by_first.setdefault(w[0], []).append(w[1:])
+    tree = "|".join(c + _prefix_tree(rest) for c, rest in sorted(by_first.items()))
+    return tree and f"(?:{tree})" + "?" * ("" in words)
+
+
 _LETTER = r"[\p{L}\p{M}\p{N}]"
-_NUMBER_WORD = rf"(?:{'|'.join(NUMBER_WORDS)})(?!{_LETTER})"
+_NUMBER_WORD = rf"{_prefix_tree(NUMBER_WORDS)}(?!{_LETTER})"
+_NUMBER_BEGINS = "".join(sorted({w[0] for w in NUMBER_WORDS}))
 _NAME = rf"\p{{Lu}}{_LETTER}*+"
-# Repeated groups are possessive: they run in a loop, however long a run is.
-_TOKEN = (
-    r"\d++(?:[.,:/]\d++)*+|[$€£](?=\d)|(?<=\d ?)(?:%|°[CFcf]?)"
-    rf"|(?i:{_NUMBER_WORD}(?:[ -]{_NUMBER_WORD})++)|{_NAME}(?: {_NAME})*+|{_LETTER}++"
-)
+
+
+def _token(names: bool) -> str:
+    """Pattern of a token; without ``names`` of a lower-cased text.
+
+    Repeated groups are possessive: they run in a loop, however long a run is. Looking at the first
+    character spares most places the slower alternatives.
+    """
+    begins = _NUMBER_BEGINS + _NUMBER_BEGINS.upper() * names
+    numbers = rf"(?{'i' * names}:{_NUMBER_WORD}(?:[ -]{_NUMBER_WORD})++)"
+    return (
+        rf"[a-z&&[^{_NUMBER_BEGINS}]]{_LETTER}*+"
+        rf"|(?=[\p{{L}}\p{{M}}\p{{N}}$€£%°])(?:\d++(?:[.,:/]\d++)*+|[$€£](?=\d)|(?=[%°])(?<=\d ?)(?:%|°[CFcf]?)"
+        rf"|(?=[{begins}]){numbers}|{_NAME}(?: {_NAME})*+|{_LETTER}++)"
+    )
 
 
 def tokens(text: Column, names: bool) -> Column:
     """Words of a text; numbers in several words and, with ``names``, runs of names are one."""
-    return F.regexp_extract_all(text if names else F.lower(text), F.lit(_TOKEN), F.lit(0))
+    return F.regexp_extract_all(text if names else F.lower(text), F.lit(_token(names)), F.lit(0))
 
 
 def _is_digits(word: Column) -> Column:
     return (word >= "0") & (word < ":")
 
 
-def typed(words: Column) -> Column:
-    """The words lower-cased, with placeholders instead of numbers, units and words with a capital."""
+def typed(words: Column, names: bool) -> Column:
+    """The words lower-cased, with placeholders instead of numbers, units and words with a capital.
+
+    Without ``names`` the words are lower-cased already.
+    """
 
     def of(word, i):
-        low = F.lower(word)
+        low = F.lower(word) if names else word
         last = F.substring_index(F.substring_index(low, " ", -1), "-", -1)
         after_number = _is_digits(F.coalesce(F.get(words, i - 1), F.lit("")))
-        other = F.when(low != word, NAME).otherwise(word)
+        other = F.when(low != word, NAME).otherwise(word) if names else word
         listed = (
             F.when(last.isin(NUMBER_WORDS), NUMBER)
             .when(low.isin(UNITS) | (low.isin(SHORT_UNITS) & after_number), UNIT)
@@ -103,26 +129,59 @@ def typed(words: Column) -> Column:
     return F.when(short, F.transform(words, F.lower)).otherwise(made)
 
 
-def windows(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """One row (keys, form, h, place, words, types) for every window of column ``text`` in both forms.
+def _listed(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys, form, words and types of column ``text`` in both forms.
 
     Form 0 has names as words, form 1 as placeholders; a text without capitals has form 0 only.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = texts.select(*keys, text.alias("text"))
     forms = F.when(F.col("text") != F.lower("text"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    listed = (
+    of_form = lambda make: F.when(F.col("form") == 0, make(False)).otherwise(make(True))
+    return (
         plain.select(*keys, "text", F.explode(forms).alias("form"))
-        .withColumn("words", F.when(F.col("form") == 0, tokens(F.col("text"), False)).otherwise(tokens(F.col("text"), True)))
-        .select(*keys, "form", "words", typed(F.col("words")).alias("types"))
+        .withColumn("words", of_form(lambda names: tokens(F.col("text"), names)))
+        .select(*keys, "form", "words", of_form(lambda names: typed(F.col("words"), names)).alias("types"))
     )
-    places = F.sequence(F.lit(1), F.greatest(F.size("words") - WIDTH + 1, F.lit(1)))
-    hashes = F.transform(places, lambda i: F.xxhash64(F.col("form"), F.slice("types", i, WIDTH)))
+
+
+def _each_window(make) -> Column:
+    """``make(h, place)`` for each window, from column ``word_hashes``; one that is shorter has nulls at its end."""
+    begins = F.slice("word_hashes", 1, F.greatest(F.size("word_hashes") - WIDTH + 1, F.lit(1)))
+    more = lambda i: (F.get("word_hashes", i + k) for k in range(1, WIDTH))
+    return F.transform(begins, lambda first, i: make(F.xxhash64(first, *more(i)), i + 1))
+
+
+def window_hashes(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row (keys, form, h) for every window of column ``text`` in both forms; h is null for one without words."""
+    word_hashes = F.transform("types", lambda x: F.xxhash64(x))
+    hashed = _listed(texts, keys).select(*keys, "form", word_hashes.alias("word_hashes"))
     # The outer form: the other one evaluates the hashes twice, once to filter empty lists.
-    some = F.posexplode_outer(F.when(F.size("words") > 0, hashes)).alias("place", "h")
-    each = listed.select(*keys, "form", "words", "types", some)
-    cut = lambda c: F.slice(c, F.col("place") + 1, WIDTH).alias(c)
-    return each.select(*keys, "form", "h", F.col("place").cast("long").alias("place"), cut("words"), cut("types"))
+    some = F.explode_outer(F.when(F.size("word_hashes") > 0, _each_window(lambda h, _: h))).alias("h")
+    return hashed.select(*keys, "form", some)
+
+
+def windows(texts: DataFrame, keys: list[str], wanted: DataFrame | None = None) -> DataFrame:
+    """``window_hashes`` with place, words and types of each window, or of those whose ``h`` is in ``wanted``.
+
+    Words are written first and cut at the places that are asked for: a plan must neither make them again for
+    each window nor carry those of the whole text along.
+    """
+    word_hashes = F.transform("types", lambda x: F.xxhash64(x)).alias("word_hashes")
+    row = F.monotonically_increasing_id().alias("row")
+    listed = written(_listed(texts, keys).select("*", word_hashes, row), "words")
+    each = _each_window(lambda h, place: F.struct(h.alias("h"), place.alias("place")))
+    found = listed.select("row", F.explode_outer(each).alias("at")).select("row", "at.*").where("h is not null")
+    if wanted is not None:
+        found = matched(found, wanted, ["h"])
+    places = found.groupBy("row").agg(F.collect_list(F.struct("h", "place")).alias("places"))
+    cut = lambda c, at: F.slice(c, at["place"], WIDTH).alias(c)
+    window = F.transform(
+        "places",
+        lambda at: F.struct(at["h"].alias("h"), at["place"].cast("long").alias("place"), cut("words", at), cut("types", at)),
+    )
+    joined = listed.drop("word_hashes").join(places, "row")
+    return joined.select(*keys, "form", F.explode_outer(window).alias("window")).select(*keys, "form", "window.*")
 
 
 def _slots() -> Column:
@@ -146,7 +205,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     made = windows(benchmark.where("item_id is not null").select("item_id", "text", own.alias("own")), ["item_id", "own"])
     literal = F.size(F.filter("types", lambda x: x >= END))
     each = (
-        made.where("h is not null").where((literal >= LITERALS) | (F.size("types") < WIDTH))
+        made.where((literal >= LITERALS) | (F.size("types") < WIDTH))
         .withColumn("slots", _slots())
         .select("item_id", "form", "h", "slots", F.when(F.col("slots").isNotNull(), F.col("own") + F.col("place")).alias("place"))
         .distinct()
@@ -185,11 +244,33 @@ def _most_agreeing(groups: str) -> Column:
     return F.coalesce(F.array_max(F.transform(groups, grown)), F.lit(0))
 
 
+def _enough(shared: Column) -> Column:
+    return (shared >= COVERAGE * F.col("n")) | (shared >= PASSAGE_WINDOWS)
+
+
+def sharing(texts: DataFrame, items: DataFrame) -> DataFrame:
+    """text_a, text_b of the texts that share enough different windows with an item, whatever the values."""
+    own = window_hashes(texts, ["text_a", "text_b"])
+    # A single number as the key is found much faster than two columns; the forms are told apart afterwards.
+    shared = matched(own, items.select("h").distinct(), ["h"]).distinct()
+    return written(
+        shared.join(items.select("item_id", "form", "h", "n").distinct(), ["form", "h"])
+        .groupBy("text_a", "text_b", "item_id", "form")
+        .agg(F.count("*").alias("shared"), F.max("n").alias("n"))
+        .where(_enough(F.col("shared")))
+        .select("text_a", "text_b")
+        .distinct(),
+        "sharing",
+    )
+
+
 def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """text_a, text_b, item_id, coverage, changed: the items found in each different text."""
     items = item_windows(benchmark)
-    own = windows(documents.select(*_identity(), "text"), ["text_a", "text_b"])
-    shared = matched(own, items.select("h").distinct(), ["h"]).withColumn("own_slots", _slots())
+    texts = documents.select(*_identity(), "text")
+    identity = ["text_a", "text_b"]
+    own = windows(matched(texts, sharing(texts, items), identity), identity, items.select("h").distinct())
+    shared = own.withColumn("own_slots", _slots())
     # One row for each text and window without slots, and for each place of one with slots,
     # whatever the number of copies.
     place = F.when(F.col("own_slots").isNotNull(), F.col("place"))
@@ -219,14 +300,13 @@ def found_items(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.coalesce(F.max(F.when(~slotted, F.size("hs"))), F.lit(0)).alias("literal"),
         F.collect_list(F.when(slotted & agrees, F.struct("offset", "hs", "values"))).alias("groups"),
     )
-    enough = lambda c: (c >= COVERAGE * F.col("n")) | (c >= PASSAGE_WINDOWS)
     # One occurrence that is enough by itself ends the search.
-    alone = lambda g: enough(F.col("literal") + F.size(g["hs"]))
+    alone = lambda g: _enough(F.col("literal") + F.size(g["hs"]))
     return (
-        grouped.where(enough(F.col("shared")))
+        grouped.where(_enough(F.col("shared")))
         .where(
-            F.when(enough(F.col("same")) | F.exists("groups", alone), True).otherwise(
-                enough(F.col("literal") + _most_agreeing("groups"))
+            F.when(_enough(F.col("same")) | F.exists("groups", alone), True).otherwise(
+                _enough(F.col("literal") + _most_agreeing("groups"))
             )
         )
         .withColumn("changed", F.col("shared") > F.col("same"))

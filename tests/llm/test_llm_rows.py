@@ -149,6 +149,18 @@ def test_decontamination_types_names_at_sentence_starts_units_and_number_words(f
     }
 
 
+def test_decontamination_of_a_long_text_grows_with_its_words(frame):
+    """Windows used to be made with the words of the whole text beside each of them."""
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    plain = " ".join("".join(rng.choices(letters, k=6)) for _ in range(120_000))
+    docs = frame([(1, plain, *[None] * 5), (2, f"{plain} {TANK.format(50, 10)} {plain}", *[None] * 5)], DOCS)
+    began = time.monotonic()
+    rows = decontaminate.mark(docs, frame([(0, TANK.format(40, 9))], "item_id long, text string")).collect()
+    assert {r.doc_id: (r.item_ids, r.changed) for r in rows} == {1: ([], False), 2: ([0], True)}
+    assert time.monotonic() - began < 30
+
+
 def test_decontamination_of_thousands_of_lines_of_one_template(frame):
     lines = "\n".join(TANK.format(1000 + i, 20000 + i) for i in range(5000))
     docs = frame([(1, lines, None, None, None, True, None)], DOCS)
