@@ -373,6 +373,11 @@ def _dense_links(regions: DataFrame, sets: DataFrame, forest: Forest) -> DataFra
     return left.unionByName(right).groupBy("region", "i", "j").applyInArrow(_tile_links(forest), "a long, b long")
 
 
+def _as_links(joined: DataFrame) -> DataFrame:
+    """Components found so far as stars, for more links to be added to."""
+    return joined.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def _finished(
     names: DataFrame, links: DataFrame, unlinked: DataFrame, dense: DataFrame, texts: DataFrame, forest: Forest
 ) -> DataFrame:
@@ -400,7 +405,7 @@ def _finished(
     more = written(_dense_links(members, written(sets, "sets"), forest), "links")
     if more.isEmpty():
         return linked
-    return components(more.unionByName(linked.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    return components(more.unionByName(_as_links(linked)))
 
 
 ROW = ["doc_key", "text_id"]  # what tells rows apart
@@ -463,8 +468,7 @@ def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFram
         .select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b"))
         .distinct()
     )
-    first = written(_confirmed(best, chosen, forest), "links")
-    joined = components(first)
+    joined = components(_confirmed(best, chosen, forest))
     root = lambda side: joined.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
     unlinked = written(
         pairs.join(root("a"), "a", "left")
@@ -474,7 +478,7 @@ def near_duplicates(documents: DataFrame, forest: Forest = Forest()) -> DataFram
         "unlinked",
     )
     second = written(_confirmed(unlinked.join(best, ["a", "b"], "left_anti"), chosen, forest), "links")
-    joined = _finished(names, first.unionByName(second), unlinked, dense, chosen, forest)
+    joined = _finished(names, second.unionByName(_as_links(joined)), unlinked, dense, chosen, forest)
     named = names.drop("n_shingles").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_key").alias("component_id"))
     labels = named.join(least, "root").select(

@@ -163,6 +163,19 @@ def test_components_of_a_path_a_star_and_a_pair(frame):
     assert graph.components(frame([], "a long, b long")).count() == 0
 
 
+def test_components_that_are_stars_take_no_round(frame, monkeypatch):
+    plain, labels = graph.written, []
+    monkeypatch.setattr(graph, "written", lambda df, label: labels.append(label) or plain(df, label))
+    stars = [(9, 1), (1, 8), (7, 2), (7, 2), (5, 5)]
+    got = {r.node: r.root for r in graph.components(frame(stars, "a long, b long")).collect()}
+    assert got == {9: 1, 8: 1, 1: 1, 7: 2, 2: 2}
+    assert labels == ["edges"]
+    # A root on another root, and a node on two roots, are no stars.
+    for more, roots in (((1, 0), {0, 2}), ((9, 2), {1}), ((8, 7), {1})):
+        got = graph.components(frame([*stars[:3], more], "a long, b long")).collect()
+        assert {r.root for r in got} == roots
+
+
 def test_word_hashes_do_not_depend_on_place():
     texts = pa.array(["alpha beta", None, "", "beta alpha  beta", "ünï ñ"])
     (chunk,) = tx.chunks(texts)
