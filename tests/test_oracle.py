@@ -45,3 +45,20 @@ def test_query_matches_oracle(spark, duck, name):
     places = [order.index(c) for c in columns]
     want = sorted(tuple(plain(r[i]) for i in places) for r in result.fetchall())
     assert got == want
+
+
+def test_pixels_of_a_long_table_match_oracle(spark, tmp_path):
+    """Row keys of 60 times sf0.1: the raster runs to a latitude of 2,238 degrees."""
+    con, name = duckdb.connect(), "stg_coastline_distance"
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table}0 AS SELECT * FROM '{SF}/{table}.parquet'")
+    con.execute("CREATE VIEW shifted AS SELECT * REPLACE (o_orderkey + i * 499_000 AS o_orderkey) FROM orders0, range(19) t(i)")
+    for table, source in zip(TABLES, ["customer0", "shifted", "events0"], strict=True):
+        con.execute(f"COPY {source} TO '{tmp_path}/{table}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet'")
+    df = registry.QUERIES[name](spark, str(tmp_path))
+    columns = sorted(df.columns)
+    got = sorted(tuple(plain(v) for v in r) for r in df.select(*columns).collect())
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({oracle.ORACLES[name]})").fetchall()
+    assert got == sorted(tuple(plain(v) for v in r) for r in want)
+    assert max(r[columns.index("latitude")] for r in want) > 2200

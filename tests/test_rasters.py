@@ -136,6 +136,27 @@ def test_cell_statistics_equal_the_pixel_join(frame):
     assert got == want and len(got) == 2
 
 
+def test_pixels_meet_wherever_they_lie(frame):
+    """Coordinates have no bounds; halves go away from zero; no coordinate and NaN equal nothing."""
+    inf, nan = float("inf"), float("nan")
+    places = [
+        (720.1, 3.1), (-721.25, 3.1), (41.0, 2238.265625), (41.0, -90000.5), (123456.789, -123456.789),
+        (1e9 + 0.25, 3.1), (2.0**43, 3.1), (2.0**43 + 2.0**-9, 3.1), (1e16, 3.1), (-1e18, 1e17), (1e300, 3.1), (1e306, 3.1), (inf, 3.1), (-inf, inf),
+    ]
+    none = [(nan, 3.1), (3.1, nan), (None, 3.1), (3.1, None), (nan, nan), (None, None)]
+    apart = [(-0.0001, 0.0), (0.0004, -0.0004), (721.0006, -0.0005)], [(0.0, -0.0), (721.001, -0.001)]
+    coastline = frame([(*p, 20.0 + i) for i, p in enumerate(places + none + apart[0])], RAW_COASTLINE)
+    bathymetry = frame([(*p, -5.0) for p in places + none + apart[1]], RAW_BATHYMETRY)
+    staged = staging.stg_coastline_distance(coastline, bathymetry)
+    got = sorted((r.latitude, r.longitude) for r in staged.collect())
+    assert got == sorted(places + apart[0])
+    want = {r.spatial_id: (r["sum"], r.low, r.n) for r in staged.groupBy("spatial_id").agg(
+        F.sum("distance_to_coast_km").alias("sum"), F.min("distance_to_coast_km").alias("low"), F.count("*").alias("n")).collect()}
+    cellwise = {r.spatial_id: (pytest.approx(r.distance_to_coast_km * r.coast_pixels), r.distance_min_km, r.coast_pixels)
+                for r in cells.cell_coast_distances(coastline, bathymetry).collect()}
+    assert cellwise == want
+
+
 def test_sample_equals_fan_out(frame):
     bathymetry, coastline = frame(BATHY, RAW_BATHYMETRY), frame(COAST, RAW_COASTLINE)
     depth, coast = cells.cell_depths(bathymetry), cells.cell_coast_distances(coastline, bathymetry)
